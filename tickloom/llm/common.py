@@ -168,3 +168,8 @@ def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def ascii_class(chars: str) -> str:
     return "[" + re.escape(chars) + "]"
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of lineage that materialize() has cut; it acts when the driver's JVM collects garbage."""
+    spark.sparkContext._jvm.System.gc()
