@@ -1,8 +1,9 @@
 """The registered queries of the corpus operators, with production parameters, over whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import lines, minhash, rules, suffix
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
 l AS (SELECT x, y FROM p JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * c >= 85 * (na.n + nb.n - c)),
@@ -31,9 +32,52 @@ FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
+    cols = "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    return rules.quality_rules(documents(spark, sf_dir)).select(*cols)
+
+
+_LIST = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
+OP6_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM d WHERE len(w) >= 8),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i : i + 7], ' ')) AS c FROM g),
+r AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM k, range(8) AS t(o) WHERE c > 1 GROUP BY 1),
+m AS (SELECT doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars, len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+  len(list_filter(w, lambda x: x IN ({_LIST}))) AS n_stop_words, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+  len(list_filter(l, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) AS n_bullet_lines, len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) AS n_ellipsis_lines
+  FROM d LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > {rules.REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ({rules.verdict_sql()}) AS kept FROM f
+"""
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: repeated strings of 200 bytes removed."""
+    return suffix.drop_repeats(documents(spark, sf_dir)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_sha256: lines found in three documents stay in the last only."""
+    left = lines.dedup_lines(documents(spark, sf_dir))
+    return left.select("rest.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, top IS NOT NULL AND doc_id <> top AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY 1
+"""
+
+
 def queries() -> dict:
-    return {"op1_minhash_dedup": op1_minhash_dedup}
+    return {f.__name__: f for f in (op1_minhash_dedup, op6_quality_rules, op9_suffix_dedup, op10_line_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op1_minhash_dedup": OP1_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_line_dedup": OP10_SQL}
