@@ -1,10 +1,56 @@
 """The corpus pipeline: quality classifier, line dedup, near-dedup, PII and packing, each stage over all that its predecessor kept."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-STAGES = []
+from tickloom.llm import lines, minhash, packing, pii, quality, queries
+from tickloom.llm.common import materialize
+
+#: Documents scored below this probability of being good go.
+LEAST_SCORE = 0.3
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labelled ones among them, does not reject."""
+    weights = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, weights).where(F.col("score") >= LEAST_SCORE).select(docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that three documents or more hold, except in the last that holds them."""
+    left = lines.dedup_lines(docs)
+    fresh = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*[fresh.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; rows without an id, and documents without words, stay."""
+    gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
+    nameless = docs.where("doc_id is null")
+    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn("_th", F.xxhash64("text"))
+    once = left.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "_th").orderBy("_th"))).where("_n = 1")
+    return once.select(docs.columns).unionByName(nameless)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with personal data and the terms that disclose it replaced."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 1024."""
+    return packing.best_fit_pack(docs, queries.tokenizer("byte_bpe_50k.json"))
+
+
+STAGES = [("quality classifier", keep_good), ("line dedup", drop_lines), ("MinHash near-dedup", drop_copies), ("PII", hide_personal_data), ("best-fit packing", pack)]
+#: SQL can express neither the classifier nor the tokens; tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        docs = materialize(docs) if i < len(STAGES) - 1 else docs
+    return docs

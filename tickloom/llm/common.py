@@ -1,5 +1,6 @@
 """Shared pieces: scratch tables, connected components, and vectorised words and shingles over Arrow text columns."""
 
+import builtins
 import re
 import tempfile
 import uuid
@@ -173,3 +174,11 @@ def ascii_class(chars: str) -> str:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of lineage that materialize() has cut; it acts when the driver's JVM collects garbage."""
     spark.sparkContext._jvm.System.gc()
+
+
+def process_memo(name: str, make):
+    """What make() gave at the first call in this Python worker; later tasks of the worker find it again."""
+    memo = builtins.__dict__.setdefault("_corpus_memo", {})
+    if name not in memo:
+        memo[name] = make()
+    return memo[name]

@@ -1,9 +1,11 @@
 """The registered queries of the corpus operators, with production parameters, over whole tables."""
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, minhash, rules, suffix
+from . import chunks, licenses, lines, minhash, packing, pii, quality, rules, suffix, vectors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +77,80 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 """
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted: quality as labels mark it, learnt from rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    weights = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs.select("doc_id", "text"), weights).select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, license, n_shared, n_template: license wordings that a document holds."""
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def _words(name: str, col: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({col}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS {name}"
+
+
+_SHINGLES = "unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g"
+_VALUES = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.TEMPLATES.items())
+OP3_SQL = f"""
+WITH t AS (SELECT DISTINCT license, {_SHINGLES} FROM (SELECT license, {_words('w', 'wording')} FROM (VALUES {_VALUES}) AS v(license, wording))),
+n AS (SELECT license, count(*) AS n_template FROM t GROUP BY 1),
+d AS (SELECT DISTINCT doc_id, {_SHINGLES} FROM (SELECT doc_id, {_words('w', 'text')} FROM documents))
+SELECT doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template FROM d JOIN t USING (g) JOIN n USING (license)
+GROUP BY 1, 2 HAVING 100 * count(*) >= {licenses.PERCENT} * any_value(n_template)
+"""
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: documents in sequences of 1024 tokens."""
+    return packing.best_fit_pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), payload=(packing.crc32, "ids_crc32", "long"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: personal data and the terms that disclose it."""
+    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir)))
+
+
+def _digests(ids: list, bpe) -> tuple:
+    return sha256(" ".join([bpe.digits[i] for i in ids]).encode()).hexdigest(), sha256(bpe.decode(ids).encode()).hexdigest()
+
+
+def op7_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: texts encoded and decoded with reuse of chunks."""
+    columns = ("ids_sha256", "string"), ("decoded_sha256", "string")
+    return chunks.encode_decode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), _digests, columns)
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept: vectors linked at a cosine of 0.95."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM s a JOIN s b ON a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0 WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+r(node, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.node)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.x = vec_id) AS n_links, min(root) AS component_id, min(root) = vec_id AS kept
+FROM embeddings JOIN r ON node = vec_id GROUP BY vec_id
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op6_quality_rules, op9_suffix_dedup, op10_line_dedup)}
+    own = (
+        op1_minhash_dedup, op2_quality_classifier, op3_license_scan, op4_best_fit_packing, op5_pii, op6_quality_rules, op7_bpe_chunks, op8_embedding_dedup,
+        op9_suffix_dedup, op10_line_dedup,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict:
-    return {"op1_minhash_dedup": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
