@@ -217,10 +217,10 @@ def classify_instrument(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 0 WHEN 5 THEN 0 WHEN 4 THEN 20260730000000000 ELSE epoch_us(o_orderdate) * 1000 END AS expiration, CASE o_orderkey % 6 WHEN 4 THEN 1785369600000000000 WHEN 0 THEN 0 WHEN 5 THEN 0 ELSE epoch_us(o_orderdate) * 1000 END AS as_date FROM orders""")
+SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 0 WHEN 5 THEN 0 WHEN 4 THEN 20260730000000000 ELSE (epoch_us(o_orderdate) + 946684800000000) * 1000 END AS expiration, CASE o_orderkey % 6 WHEN 4 THEN 1785369600000000000 WHEN 0 THEN 0 WHEN 5 THEN 0 ELSE (epoch_us(o_orderdate) + 946684800000000) * 1000 END AS as_date FROM orders""")
 def expiry_units(spark, sf_dir):
     """Expirations in seconds, milliseconds and nanoseconds, and texts that are none."""
-    k, s = F.col("o_orderkey") % 6, F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    k, s = F.col("o_orderkey") % 6, F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + 946_684_800
     raw = F.when(k == 0, "-1").when(k == 1, s.cast("string")).when(k == 2, (s * 1000).cast("string")).when(k == 3, (s * 1_000_000_000).cast("string")).when(k == 4, "20260730").otherwise("abc")
     return table(spark, sf_dir, "orders").select("o_orderkey", expiry.expiration_ns(raw).alias("expiration"), expiry.expiration_ns(raw, dates_as_text=True).alias("as_date"))
 
