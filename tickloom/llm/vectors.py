@@ -34,31 +34,42 @@ class Caps:
         for g in self.groups:
             c = rng.standard_normal((self.k, len(g)))
             self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(len(self.groups)))
-        some = rng.standard_normal((400, dim))
-        scores = self._sums([s[:400] for s in self._scores(some / np.linalg.norm(some, axis=1, keepdims=True))])
-        self.least = float(np.quantile(scores, 1 - TIMES / scores.shape[1])) if scores.shape[1] > TIMES else -2.0
+        some = rng.standard_normal((200, dim))
+        some /= np.linalg.norm(some, axis=1, keepdims=True)
+        # The threshold that lets TIMES filters through on average, found by listing only what exceeds it.
+        high = float(sum(p.max(axis=1) for p in self._scores(some)).max())
+        low = high
+        while low > -1.5 and self._passed(some, low) < TIMES:
+            low -= 0.02
+        high = min(high, low + 0.02)
+        for _ in range(8):
+            middle = (low + high) / 2
+            low, high = (middle, high) if self._passed(some, middle) >= TIMES else (low, middle)
+        self.least = low
+
+    def _passed(self, x, least: float) -> float:
+        self.least = least
+        return len(self._list(self._scores(x))[0]) / len(x)
 
     def _scores(self, x):
         y = x @ self.turn
         return [y[:, g] @ c.T for g, c in zip(self.groups, self.codes, strict=True)]
 
-    @staticmethod
-    def _sums(parts):
-        total = parts[0]
-        for p in parts[1:]:
-            total = (total[:, :, None] + p[:, None, :]).reshape(len(total), -1)
-        return total
-
-    def decode(self, x: np.ndarray):
-        """(row, filter) of every filter that a unit vector exceeds; a list decoder that drops codes whose best completion falls short."""
-        parts = self._scores(x)
+    def _list(self, parts):
+        """(row, filter) of the filters that exceed the threshold; codes whose best completion falls short are dropped at once."""
+        n = len(parts[0])
         best = [p.max(axis=1) for p in parts]
-        row, code, total = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
+        row, code, total = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
         for i, p in enumerate(parts):
-            rest = sum(best[i + 1 :], np.zeros(len(x)))
-            ok = (total[:, None] + p[row]) + rest[row][:, None] >= self.least
-            a, b = np.nonzero(ok)
+            rest = sum(best[i + 1 :], np.zeros(n))
+            a, b = np.nonzero((total[:, None] + p[row]) + rest[row][:, None] >= self.least)
             total, code, row = total[a] + p[row[a], b], code[a] * self.k + b, row[a]
+        return row, code
+
+    def decode(self, x: np.ndarray):
+        """(row, filter) of every filter that a unit vector exceeds."""
+        parts = self._scores(x)
+        row, code = self._list(parts)
         top = [p.argmax(axis=1) for p in parts]  # a vector that exceeds none still goes to its nearest
         lone = np.setdiff1d(np.arange(len(x)), row)
         nearest = np.zeros(len(lone), np.int64)
