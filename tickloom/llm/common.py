@@ -182,3 +182,8 @@ def process_memo(name: str, make):
     if name not in memo:
         memo[name] = make()
     return memo[name]
+
+
+def drop_memos() -> None:
+    """Free what earlier tasks of this Python worker kept, before work that needs room of its own."""
+    builtins.__dict__.pop("_corpus_memo", None)

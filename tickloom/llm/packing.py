@@ -15,7 +15,7 @@ from .common import materialize, process_memo
 
 SIZE, END = 1024, 2
 #: Pieces kept in a worker's memo, and the longest that is kept.
-MEMO_PIECES, MEMO_CHARS = 400_000, 64
+MEMO_PIECES, MEMO_CHARS = 250_000, 64
 #: Before a blank or newline that a solid character follows, the byte-level split pattern always ends a piece.
 CUT = re.compile(r"(?=[ \n]\S)")
 #: In texts of characters below this one both libraries split alike, whatever their Unicode versions.
@@ -104,7 +104,7 @@ def token_pieces(docs: DataFrame, path: str, size: int, end: int, payload, text:
                     rows.append((doc_id, i, s, n, derive(ids[s : s + n]), part, int(seen[n])))
                     seen[n] += 1
                     held += n
-                if held > 2_000_000 or len(rows) > 20_000:
+                if held > 500_000 or len(rows) > 20_000:
                     yield flush(rows)
                     rows, held = [], 0
             if rows:

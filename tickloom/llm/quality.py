@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import PLACES, U, mix, text_slices, word_hashes
+from .common import PLACES, U, drop_memos, mix, text_slices, word_hashes
 
 BITS = 18
 #: At most about so many labelled rows are learnt from, in so many shards that are trained apart and averaged.
-SAMPLE, SHARDS, EPOCHS = 16_000, 8, 6
+SAMPLE, SHARDS, EPOCHS = 8_000, 8, 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.05
 #: Fewer rows than this for each shard are trained in fewer shards.
 SHARD_ROWS = 1000
+#: Bytes of text whose features are made at once.
+SLICE = 1 << 18
 #: Classes of bytes in a word's shape: letters, digits, each sign for itself.
 SHAPES = np.arange(256, dtype=np.uint8)
 SHAPES[48:58] = 48
@@ -95,10 +97,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(hashed < keep).join(chosen, "doc_id")
 
     def fit(batches):
+        drop_memos()
         groups = {}
         for batch in batches:
             shard, ys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            for i, j, data, offs in text_slices(batch.column(3)):
+            for i, j, data, offs in text_slices(batch.column(3), SLICE):
                 bounds, x, v = weighted(*features(data, offs), j - i)
                 for k in range(j - i):
                     a, b = bounds[k], bounds[k + 1]
@@ -124,9 +127,10 @@ def score(docs: DataFrame, weights: np.ndarray | None, text: str = "text") -> Da
     others = [c for c in docs.columns if c not in (text, "score")]
 
     def run(batches):
+        drop_memos()
         w = sent.value
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(1)):
+            for i, j, data, offs in text_slices(batch.column(1), SLICE):
                 if w is None:
                     out = np.full(j - i, 0.5)
                 else:
