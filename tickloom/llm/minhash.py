@@ -2,7 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import PLACES, U, connected_components, distinct_in_rows, list_array, materialize, mix, shingle_hashes, text_slices, word_hashes
@@ -10,8 +10,8 @@ from .common import PLACES, U, connected_components, distinct_in_rows, list_arra
 #: 32 bands of 4 rows miss a pair of similarity 0.8 with probability 5e-8, and one of 0.85 with 6e-11.
 BANDS, ROWS = 32, 4
 FREE = np.iinfo(np.uint64).max
-#: Members of one label in a bucket that are compared in one task; a larger bucket is dealt out in blocks.
-BLOCK = 2000
+#: Members of a bucket, and shingles of them, that meet in one task with as many others; a larger bucket is dealt out in pairs of blocks.
+BLOCK, BLOCK_SHINGLES = 500, 400_000
 
 
 def superminhash(elements: np.ndarray, row_of: np.ndarray, n_rows: int, m: int = BANDS * ROWS) -> np.ndarray:
@@ -101,8 +101,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
 
     Documents with equal sets form a class with one representative. Representatives meet in the buckets of their bands. First
     each is held against the pivot of each of its buckets, the member that shares buckets with the most others; the links
-    found are joined to components. Then members of different components in one bucket are compared by sketches of their
-    signatures, and those that may be similar enough are verified on their full sets, until no pair is left.
+    found are joined to components. Then members of different components that share a bucket are compared on their full sets.
     """
     sig = materialize(signatures(docs, k, text))
     known = sig.where("doc_id is not null and n_shingles > 0")
@@ -139,12 +138,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int,
     )
     links = materialize(verified(pairs, sets, percent))
     labels = materialize(connected_components(links))
-    while True:
-        more = materialize(verified(across(shared, classes, labels, percent), sets, percent))
-        if not more.limit(1).count():
-            return labels
-        links = links.union(more)
-        labels = materialize(connected_components(links))
+    more = materialize(across(shared, labels, sets, percent))
+    return materialize(connected_components(links.union(more)))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,68 +149,69 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "cid").join(b, "other").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select(F.col("cid").alias("src"), F.col("other").alias("dst"))
 
 
-def across(shared: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(cid, other): pairs in one bucket, of different components, whose bands leave a chance that they are similar enough.
+def across(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(src, dst): a forest of the links between members of one bucket that lie in different components, verified on full sets.
 
-    The component with most members in a bucket is dealt out in blocks; the other members are copied to each block.
+    Buckets are dealt out in pairs of blocks of bounded size, so that no task holds a large bucket, and pairs are counted inside a task.
     """
     labelled = shared.join(labels, F.col("cid") == F.col("node"), "left").select("bucket", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
-    groups = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
-    mixed = groups.groupBy("bucket").agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("most")).where("comps > 1")
-    blocks = F.ceil(F.col("most") / BLOCK).cast("int")
-    dealt = (
-        labelled.join(mixed, "bucket")
-        .withColumn("block", F.when(F.col("comp") == F.col("main"), F.array(F.pmod(F.col("cid"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", F.explode("block").alias("block"), "cid", "n", "comp")
-    )
-    with_bands = dealt.join(classes.select("cid", "bands"), "cid").select("bucket", "block", "cid", "n", "comp", "bands")
-    return with_bands.repartition("bucket", "block").sortWithinPartitions("bucket", "block").mapInArrow(pair_finder(percent), "cid long, other long").distinct()
-
-
-def pair_finder(percent: int):
-    """Pairs of one (bucket, block) that lie in different components, fit in size and share enough bands."""
-
-    def of_group(cid, n, comp, bands):
-        order = np.argsort(comp, kind="stable")
-        cid, n, comp, bands = cid[order], n[order], comp[order], bands[order]
-        for a in range(0, len(cid), 256):
-            rest = slice(a, None)
-            x, y = np.minimum(n[a : a + 256, None], n[None, rest]), np.maximum(n[a : a + 256, None], n[None, rest])
-            fit = (100 * x >= percent * y) & (comp[a : a + 256, None] != comp[None, rest])
-            i, j = np.nonzero(fit)
-            keep = a + i < a + j
-            i, j = a + i[keep], a + j[keep]
-            for s in range(0, len(i), 100_000):
-                p, q = i[s : s + 100_000], j[s : s + 100_000]
-                good = (bands[p] == bands[q]).sum(axis=1) >= LEAST_BANDS
-                yield np.minimum(cid[p[good]], cid[q[good]]), np.maximum(cid[p[good]], cid[q[good]])
+    mixed = labelled.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = labelled.join(mixed.select("bucket", blocks.alias("blocks")), "bucket").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
+    dealt = dealt.select("bucket", "cid", "comp", "own", F.explode(meets).alias("p")).select("bucket", "p.i", "p.j", "own", "cid", "comp")
+    full = dealt.join(sets, "cid").select("bucket", "i", "j", "own", "cid", "comp", "shingles")
+    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(block_links(percent), "src long, dst long").distinct()
+
+
+def block_links(percent: int):
+    """Links of one (bucket, i, j) that join members of different components, each only where they are not joined yet."""
+
+    def of_group(i, j, own, cid, comp, sets):
+        m, sizes = len(cid), np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(m), sizes)
+        _, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        members = row[np.argsort(at, kind="stable")]  # of each shingle, one after another
+        begin, first = np.cumsum(counts) - counts, np.cumsum(sizes) - sizes
+        _, root = np.unique(comp, return_inverse=True)
+        out = []
+        for x in range(m):
+            if (root == root[0]).all():
+                break
+            own_at = at[first[x] : first[x] + sizes[x]]
+            n = counts[own_at]
+            held = members[np.repeat(begin[own_at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            both = np.bincount(held, minlength=m)
+            linked = (100 * both >= percent * (sizes[x] + sizes - both)) & (root != root[x])
+            if i != j:
+                linked &= own != own[x]
+            for y in np.flatnonzero(linked):
+                if root[y] != root[x]:
+                    root[root == root[y]] = root[x]
+                    out.append((cid[x], cid[y]))
+        return out
 
     def run(batches):
         held, key = [], None
 
         def flush():
             if held:
-                cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-                for lo, hi in of_group(*cols):
-                    if len(lo):
-                        yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["cid", "other"])
+                links = of_group(key[1], key[2], *(np.concatenate([h[c] for h in held]) for c in range(3)), [x for h in held for x in h[3]])
                 held.clear()
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["src", "dst"])
 
         for batch in batches:
-            b = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            bands = batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
-            cuts = np.flatnonzero((np.diff(b[0]) != 0) | (np.diff(b[1]) != 0)) + 1
-            for s, e in zip([0, *cuts], [*cuts, len(b[0])], strict=True):
+            bucket, i, j, own, cid, comp = (batch.column(c).to_numpy() for c in range(6))
+            sets = [x.values.to_numpy() for x in batch.column(6)]
+            new = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            for s, e in zip([0, *new], [*new, len(bucket)], strict=True):
                 if s == e:
                     continue
-                if key != (b[0][s], b[1][s]):
+                if key != (bucket[s], i[s], j[s]):
                     yield from flush()
-                    key = (b[0][s], b[1][s])
-                held.append((b[2][s:e], b[3][s:e], b[4][s:e], bands[s:e]))
+                    key = (bucket[s], i[s], j[s])
+                held.append((own[s:e], cid[s:e], comp[s:e], sets[s:e]))
         yield from flush()
 
     return run
-
-
-#: A pair of similarity 0.8 shares 13 of 32 bands on average, with a deviation of 2.8; it shares fewer than 2 with probability 1e-6.
-LEAST_BANDS = 2
