@@ -43,44 +43,48 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Runs of (a, b, n, top): a line's hash, the documents of a batch that hold it, the largest doc_id among them; each run is a table sorted by hash.
+    """Runs of (a, b, n, top): a line's hash, the documents that hold it, the largest doc_id among them; each run is a table sorted by hash.
 
-    ingest() adds a batch's run to level 0: it merge-anti-joins the runs to tell new lines from known ones. Where a level has fan_in
-    runs, they are merged to one of the next level, so that n batches leave about log(n) runs. The documents of a batch must be in no other.
+    ingest() merge-anti-joins a batch with the runs: lines that no run holds make a run of level 0, the others' counts are kept beside the
+    runs, so that each hash is in one run only. Where a level has fan_in runs, they are compacted to one of the next level, so that n
+    batches leave about log(n) runs. The documents of a batch must be in no other.
     """
 
+    COLUMNS = "a long, b long, n long, top long"
+
     def __init__(self, spark: SparkSession, path: str | None = None, fan_in: int = FAN_IN):
-        self.spark, self.path, self.fan_in, self.levels, self.made = spark, path or scratch_dir(spark), fan_in, [], 0
+        self.spark, self.path, self.fan_in, self.levels, self.again, self.made = spark, path or scratch_dir(spark), fan_in, [], [], 0
 
     def _write(self, run: DataFrame) -> DataFrame:
+        """run(a, b, n, top, known) as a table that is sorted by hash in each part, the known lines apart from the new."""
         at, self.made = f"{self.path}/run-{self.made}", self.made + 1
-        run.sortWithinPartitions("a", "b").write.parquet(at)
-        return self.spark.read.schema(run.schema).parquet(at)
+        run.sortWithinPartitions("known", "a", "b").write.partitionBy("known").parquet(at)
+        return self.spark.read.schema(f"{self.COLUMNS}, known boolean").parquet(at)
+
+    def _union(self, tables: list) -> DataFrame:
+        both = self.spark.createDataFrame([], self.COLUMNS) if not tables else tables[0]
+        for t in tables[1:]:
+            both = both.unionByName(t)
+        return both
+
+    def held(self) -> DataFrame:
+        """(a, b, n, top) of each line, as counted in the batch that brought it first."""
+        return self._union([run for level in self.levels for run in level])
 
     def merged(self) -> DataFrame:
         """(a, b, n, top) over all batches."""
-        runs = [r for level in self.levels for r in level]
-        if not runs:
-            return self.spark.createDataFrame([], "a long, b long, n long, top long")
-        return self._merge(runs)
-
-    def _merge(self, runs: list) -> DataFrame:
-        both = runs[0]
-        for r in runs[1:]:
-            both = both.unionByName(r)
-        return both.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
-
-    def unseen(self, lines: DataFrame) -> DataFrame:
-        """Those of lines(a, b, ...) that no run holds."""
-        for level in self.levels:
-            for run in level:
-                lines = lines.join(run.select("a", "b"), ["a", "b"], "left_anti")
-        return lines
+        return self._union([self.held(), *self.again]).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
 
     def ingest(self, lines: DataFrame) -> None:
         """Add a batch of lines (did, a, b)."""
         own = lines.groupBy("a", "b").agg(F.countDistinct("did").alias("n"), F.max("did").alias("top"))
-        self._add(0, self._write(own))
+        if self.made:  # the anti-join and what it leaves out, in one pass
+            own = own.join(self.held().select("a", "b", F.lit(True).alias("known")), ["a", "b"], "left").withColumn("known", F.col("known").isNotNull())
+        else:
+            own = own.withColumn("known", F.lit(False))
+        batch = self._write(own)
+        self.again.append(batch.where("known").drop("known"))
+        self._add(0, batch.where("not known").drop("known"))
 
     def _add(self, level: int, run: DataFrame) -> None:
         if len(self.levels) == level:
@@ -88,7 +92,8 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fan_in:
             runs, self.levels[level] = self.levels[level], []
-            self._add(level + 1, self._write(self._merge(runs)))
+            compact = self._write(self._union(runs).repartition("a", "b").withColumn("known", F.lit(False)))
+            self._add(level + 1, compact.where("not known").drop("known"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, text: str = "text", batches: int = BATCHES) -> DataFrame:
