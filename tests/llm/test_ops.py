@@ -6,6 +6,7 @@ from collections import defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickloom.llm import chunks, licenses, lines, minhash, packing, pii, quality, queries, rules, vectors
@@ -166,6 +167,24 @@ def test_vectors(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (5000, 5001, 5002, 5004)) and got[5003].n_links == 1
 
 
+@pytest.mark.parametrize(("n", "dim"), [(1_100, 64), (10_000, 64), (100_000, 64), (1_000_000, 64), (10_000, 4)])
+def test_isolated_pairs_meet(n, dim):
+    rng = np.random.default_rng(11)
+    for cosine in (0.951, 0.97, 0.99):
+        x, y = vectors.pairs_at(rng, 1000, dim, cosine)
+        assert vectors.Caps(dim, n).met(x, y).mean() >= 0.99, cosine
+
+
+@pytest.mark.parametrize("n", [10_000, 100_000])
+def test_isolated_links(spark, n):
+    rng = np.random.default_rng(12)
+    x, y = vectors.pairs_at(rng, 500, 64, 0.955)
+    v = np.concatenate([x, y, rng.standard_normal((n - 1000, 64))]).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), 64).cast(pa.list_(pa.float32()))})
+    got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(table)).where("vec_id < 1000").collect()}
+    assert sum(got[i].n_links == 1 == got[500 + i].n_links and got[500 + i].component_id == i for i in range(500)) >= 495
+
+
 @pytest.mark.parametrize("op", ["near_duplicates", "dedup_lines", "quality_rules", "best_fit_pack", "encode_decode", "personal_spans", "sanitise", "scan_licenses", "score"])
 def test_odd_rows(spark, op):
     run = {

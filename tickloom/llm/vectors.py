@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: spherical-cap filters from product codes, a join on filters, verification and counts by blocks."""
+"""Near-duplicate vectors: each one's best filters of a product code, a join on filters, verification and counts by blocks."""
 
 import math
 
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from .common import connected_components, materialize
 
 COSINE = 0.95
-#: Filters that a vector exceeds on average, vectors that exceed a filter on average, and blocks of the product code.
+#: Filters of each vector at least, vectors of a filter on average, and blocks of the product code.
 TIMES, BUCKET, PARTS = 20, 10, 3
+#: Share of simulated pairs at the least cosine that must have a filter in common, and how many are simulated.
+RECALL, PAIRS = 0.998, 4000
 #: Members of a bucket that meet in one task; larger buckets are dealt out in pairs of blocks.
 BLOCK = 256
 SEED = 20_240_601
@@ -20,62 +22,58 @@ SEED = 20_240_601
 class Caps:
     """Filter directions c1 + c2 + c3 of a product code on three groups of coordinates of randomly turned vectors.
 
-    The codes grow with the number of vectors, so that a filter's cap holds about BUCKET random vectors, and each vector lies in about
-    TIMES caps. A cap that holds one of two vectors at cosine 0.95 holds the other with a probability of about 0.5.
+    Each vector takes the `times` filters that it scores best on, wherever it lies, so that no vector is left with few. The codes grow with
+    the number of vectors, so that a filter holds about BUCKET of them, and `times` grows until RECALL of the simulated pairs at the least
+    cosine share a filter. As vectors are turned at random, this depends on a pair's cosine alone, not on how the others are spread.
     """
 
-    def __init__(self, dim: int, n: int):
+    def __init__(self, dim: int, n: int, cosine: float = COSINE):
         rng = np.random.default_rng(SEED)
         self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.groups = [g for g in np.array_split(np.arange(dim), min(PARTS, dim)) if len(g)]
         share = min(0.25, BUCKET / max(n, 1))
-        self.k = max(4, math.ceil((TIMES / share) ** (1 / len(self.groups))))
-        self.codes = []
-        for g in self.groups:
-            c = rng.standard_normal((self.k, len(g)))
-            self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) / math.sqrt(len(self.groups)))
-        some = rng.standard_normal((200, dim))
-        some /= np.linalg.norm(some, axis=1, keepdims=True)
-        # The threshold that lets TIMES filters through on average, found by listing only what exceeds it.
-        high = float(sum(p.max(axis=1) for p in self._scores(some)).max())
-        low = high
-        while low > -1.5 and self._passed(some, low) < TIMES:
-            low -= 0.02
-        high = min(high, low + 0.02)
-        for _ in range(8):
-            middle = (low + high) / 2
-            low, high = (middle, high) if self._passed(some, middle) >= TIMES else (low, middle)
-        self.least = low
-
-    def _passed(self, x, least: float) -> float:
-        self.least = least
-        return len(self._list(self._scores(x))[0]) / len(x)
-
-    def _scores(self, x):
+        x, y = pairs_at(rng, PAIRS, dim, cosine)
+        self.times = TIMES
+        while True:
+            k = max(4, math.ceil((self.times / share) ** (1 / len(self.groups))))
+            codes = [rng.standard_normal((k, len(g))) for g in self.groups]
+            # A group of one coordinate has two directions only.
+            codes = [np.unique(c / np.linalg.norm(c, axis=1, keepdims=True), axis=0) / math.sqrt(len(codes)) for c in codes]
+            self.codes = codes
+            if self.times >= math.prod(map(len, codes)) or self.met(x, y).mean() >= RECALL:
+                break
+            self.times += 4
+
+    def best(self, x: np.ndarray) -> np.ndarray:
+        """The filters that each unit vector scores best on, one row each, in falling order; of equal ones the first."""
         y = x @ self.turn
-        return [y[:, g] @ c.T for g, c in zip(self.groups, self.codes, strict=True)]
-
-    def _list(self, parts):
-        """(row, filter) of the filters that exceed the threshold; codes whose best completion falls short are dropped at once."""
-        n = len(parts[0])
-        best = [p.max(axis=1) for p in parts]
-        row, code, total = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
-        for i, p in enumerate(parts):
-            rest = sum(best[i + 1 :], np.zeros(n))
-            a, b = np.nonzero((total[:, None] + p[row]) + rest[row][:, None] >= self.least)
-            total, code, row = total[a] + p[row[a], b], code[a] * self.k + b, row[a]
-        return row, code
-
-    def decode(self, x: np.ndarray):
-        """(row, filter) of every filter that a unit vector exceeds."""
-        parts = self._scores(x)
-        row, code = self._list(parts)
-        top = [p.argmax(axis=1) for p in parts]  # a vector that exceeds none still goes to its nearest
-        lone = np.setdiff1d(np.arange(len(x)), row)
-        nearest = np.zeros(len(lone), np.int64)
-        for t in top:
-            nearest = nearest * self.k + t[lone]
-        return np.concatenate([row, lone]), np.concatenate([code, nearest])
+        score, code = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
+        for g, c in zip(self.groups, self.codes, strict=True):
+            part = y[:, g] @ c.T
+            order = np.argsort(-part, axis=1, kind="stable")[:, : self.times]
+            part = np.take_along_axis(part, order, 1)
+            # The a-th of one list and the b-th of the other have a * b - 1 sums before them that are no less.
+            a, b = np.nonzero(np.outer(np.arange(1, score.shape[1] + 1), np.arange(1, part.shape[1] + 1)) <= self.times)
+            score, code = score[:, a] + part[:, b], code[:, a] * len(c) + order[:, b]
+            order = np.argsort(-score, axis=1, kind="stable")[:, : self.times]
+            score, code = np.take_along_axis(score, order, 1), np.take_along_axis(code, order, 1)
+        return code
+
+    def met(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether x and y of each row share a filter."""
+        both = np.sort(np.concatenate([self.best(x), self.best(y)], axis=1), axis=1)
+        return (both[:, 1:] == both[:, :-1]).any(axis=1)
+
+
+def pairs_at(rng, n: int, dim: int, cosine: float):
+    """n random pairs of unit vectors at a cosine; of one dimension, equal ones."""
+    x, y = rng.standard_normal((2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dim == 1:
+        return x, x
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosine * x + math.sqrt(1 - cosine * cosine) * y
 
 
 def unit(col: pa.Array, dim: int) -> np.ndarray:
@@ -118,16 +116,14 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", cosine: float =
 
 def linked(classes: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
     """(cid, more, null): links found in a block from the class's vector to vectors of others; (cid, null, other): a forest of the links."""
-    caps = classes.sparkSession.sparkContext.broadcast(Caps(dim, n))
+    caps = classes.sparkSession.sparkContext.broadcast(Caps(dim, n, cosine))
 
     def filters(batches):
         for batch in batches:
             for s in range(0, len(batch), 128):
                 part = batch.slice(s, 128)
-                row, code = caps.value.decode(unit(part.column(1), dim))
-                order = np.argsort(row, kind="stable")
-                row, code = row[order], code[order]
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32)), pa.array(code))
+                code = caps.value.best(unit(part.column(1), dim))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(code) + 1, dtype=np.int32) * code.shape[1]), pa.array(code.ravel()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], ["cid", "v", "copies", "codes"])
 
     coded = materialize(classes.select("cid", "v", "copies").mapInArrow(filters, f"cid long, v {classes.schema['v'].dataType.simpleString()}, copies long, codes array<long>"))
