@@ -34,7 +34,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with personal data and the terms that disclose it replaced."""
-    clean = pii.sanitise(docs)
+    clean = pii.sanitise(docs, **pii.WHOLE)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else clean
 
 

@@ -130,6 +130,41 @@ def test_pii_terms(spark):
     assert clean[12].text == rows[4][1]
 
 
+def test_pii_terms_of_documents(spark):
+    common = "many words stand here and there "
+    rows = [(1, f"Vexilor {common * 20}\n\n at jo@acme.org now Vexilor"), (2, f"jo@acme.org {common} é Vexilor"), (3, f"{common} Vexilor"), (4, f"{common} +49 30 1234567 {common} Quandry 日本語"), *((i, common) for i in range(10, 900))]
+    out = {r.did: r for r in pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string"), **pii.WHOLE).collect()}
+    for d, t in rows[:4]:
+        want = [(m.start(), m.end()) for m in re.finditer("Vexilor|Quandry|日本語|now", t)]
+        assert [(x.s, x.e) for x in out[d].more] == want, d
+    assert not any(out[i].more for i in range(10, 900))
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), **pii.WHOLE).collect()}
+    assert clean[3] == f"{common} [TERM]" and clean[10] == common
+
+
+def test_pii_brute(spark, docs):
+    own, held, n = {}, defaultdict(set), len(docs)
+    words = {d: [m for m in re.finditer(r"[^\x20\x09-\x0d]+", t)] for d, t in docs.items()}
+    low = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
+    every = defaultdict(set)
+    for d, t in docs.items():
+        spans = pii.base_spans(t)
+        for m in words[d]:
+            every[low(m[0])].add(d)
+        for k, s, e in spans:
+            held[k, t[s:e]].add(d)
+        own[d] = [m for m in words[d] if not any(s < m.end() and m.start() < e for _, s, e in spans)]
+    terms = {d: {low(m[0]) for m in own[d] if len(m[0]) >= 3 and any(map(str.isalpha, m[0]))} for d in docs}
+    risky = set()
+    for ds in held.values():
+        for w in set().union(*(terms[d] for d in ds)) if len(ds) < n else ():
+            c = sum(w in terms[d] for d in ds)
+            if np.log(c * n / len(ds) / len(every[w])) >= 0.9 * np.log(n / len(ds)) - 1e-12:
+                risky.add(w)
+    got = {r.did: r.more for r in pii.personal_spans(spark.createDataFrame([*docs.items()], "doc_id long, text string"), **pii.WHOLE).collect()}
+    assert {d: [(x.s, x.e) for x in got[d]] for d in docs} == {d: [m.span() for m in own[d] if low(m[0]) in risky] for d in docs} and risky
+
+
 def test_quality(spark, docs):
     out = queries.op2_quality_classifier(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
     held = [r for r in out if r.held_out]

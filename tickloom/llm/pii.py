@@ -17,11 +17,19 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-#: Words on each side of a protected value that may disclose it, and documents that must hold both.
+#: Unless told otherwise: words on each side of a protected value that are looked at, and documents that must hold both.
 NEAR, SUPPORT = 4, 3
+#: The whole job, for the registered queries: all words of a value's documents, and one document is enough, as a term that is found with
+#: a single document's value leads to that document.
+WHOLE = {"near": None, "support": 1}
 #: Share of a value's information that a term gives away, from which the term is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.9, 0.999
-WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+#: Bits for each disclosing term in the filter that is broadcast, its most bits, and its hashes; what passes it is joined exactly.
+FILTER_BITS, MOST_BITS, HASHES = 16, 1 << 28, 3
+#: Terms that more than this share of the documents hold are looked up by a broadcast, so that no task gets all rows of one of them.
+COMMON = 0.01
+LETTER_LUT = np.zeros(256, bool)
+LETTER_LUT[[*range(65, 91), *range(97, 123)]] = True
 
 
 def emails(t: str):
@@ -56,42 +64,102 @@ def base_spans(t: str) -> list:
     return out
 
 
-def near_terms(t: str, spans: list):
-    """(start, end, hash of the protected value, hash of the term) for the words near each span that are no part of any."""
-    taken = sorted((s, e) for _, s, e in spans)
-    for kind, s, e in spans:
-        value = xxhash.xxh3_64_intdigest(f"{kind}:{t[s:e]}") - (1 << 63)
-        reach = 40 * NEAR
-        before = [m.span() for m in WORD.finditer(t, max(0, s - reach), s)][-NEAR:]
-        after = [m.span() for m in WORD.finditer(t, e, min(len(t), e + reach))][:NEAR]
-        for a, z in before + after:
-            whole = (a == 0 or t[a - 1] in " \t\n\r\x0b\x0c") and (z == len(t) or t[z] in " \t\n\r\x0b\x0c")
-            if whole and z - a >= 3 and any(c.isalpha() for c in t[a:z]) and not any(x < z and a < y for x, y in taken):
-                yield a, z, value, t[a:z]
+def free_words(data: np.ndarray, offs: np.ndarray, spans: list):
+    """(hash, row, start, end, start byte, end byte) of the words that overlap none of their row's spans; start and end in code points."""
+    h, rows, at, to = word_hashes(data, offs)
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(rows))
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    first = points[offs]
+    s, e = points[at], points[to]
+    taken = sorted((first[r] + x, first[r] + y) for r, of_row in enumerate(spans) for _, x, y in of_row)
+    starts, ends = (np.array([t[i] for t in taken], np.int64) for i in (0, 1))
+    # Of the spans that start before a word's end, the one that reaches farthest.
+    reach = np.concatenate([[0], np.maximum.accumulate(ends)])[np.searchsorted(starts, e)]
+    ok = np.flatnonzero(reach <= s)
+    row, s, e = row[ok], s[ok], e[ok]
+    return h[ok], row, s - first[row], e - first[row], at[ok], to[ok]
 
 
-def scan(docs: DataFrame, text: str) -> DataFrame:
-    """(did, th, base, near): of each row; th is the text's hash, base its base spans, near the terms near them."""
+def is_term(data: np.ndarray, s, e, at, to) -> np.ndarray:
+    """Whether words have three characters or more and a letter."""
+    letters, others = (np.concatenate([[0], np.cumsum(x)]) for x in (LETTER_LUT[data], data > 127))
+    ok = letters[to] > letters[at]
+    for k in np.flatnonzero(~ok & (others[to] > others[at]) & (e - s >= 3)):
+        ok[k] = any(map(str.isalpha, data[at[k] : to[k]].tobytes().decode()))
+    return ok & (e - s >= 3)
+
+
+def keyed_texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def scan(docs: DataFrame, text: str, near: int | None) -> DataFrame:
+    """(did, th, rid, base, values, terms) of each row: the text's hash, a number of its own, base spans, and the distinct hashes of protected
+    values and of the terms of a row that has any, or of those that stand within `near` words of one."""
     span = pa.struct([("kind", pa.int32()), ("s", pa.int64()), ("e", pa.int64())])
-    term = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("value", pa.int64()), ("term", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            base, near = [], []
-            for value in batch.column(2):
-                t = value.as_py()
-                spans = base_spans(t)
-                base.append([{"kind": k, "s": s, "e": e} for k, s, e in spans])
-                terms = list(near_terms(t, spans)) if spans else []
-                if terms:
-                    words = [w.encode() for *_, w in terms]
-                    h = word_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])]))[0].view(np.int64).tolist()
-                    terms = [{"s": s, "e": e, "value": v, "term": x} for (s, e, v, _), x in zip(terms, h, strict=True)]
-                near.append(terms)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, pa.list_(span)), pa.array(near, pa.list_(term))], ["did", "th", "base", "near"])
+            for i, j, data, offs in text_slices(batch.column(3)):
+                texts = batch.column(3).slice(i, j - i).to_pylist()
+                spans = [base_spans(t) for t in texts]
+                values = [list({xxhash.xxh3_64_intdigest(f"{k}:{t[s:e]}") - (1 << 63) for k, s, e in x}) for t, x in zip(texts, spans, strict=True)]
+                terms = [[] for _ in texts]
+                for r in (r for r, x in enumerate(spans) if x):
+                    own = data[offs[r] : offs[r + 1]]
+                    h, _, s, e, at, to = free_words(own, np.array([0, len(own)]), [spans[r]])
+                    ok = is_term(own, s, e, at, to)
+                    if near is not None:
+                        beside = np.zeros(len(h), bool)
+                        for _, x, y in spans[r]:
+                            before, after = np.searchsorted(e, x, "right"), np.searchsorted(s, y)
+                            beside[max(0, before - near) : before] = beside[after : after + near] = True
+                        ok &= beside
+                    terms[r] = np.unique(h[ok]).view(np.int64)
+                base = pa.array([[{"kind": k, "s": s, "e": e} for k, s, e in x] for x in spans], pa.list_(span))
+                some = [*(batch.column(c).slice(i, j - i) for c in range(3)), base, pa.array(values, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(some, ["did", "th", "rid", "base", "values", "terms"])
+
+    keyed = keyed_texts(docs, text).select("did", "th", F.monotonically_increasing_id().alias("rid"), "text")
+    return keyed.mapInArrow(run, "did long, th long, rid long, base array<struct<kind:int,s:long,e:long>>, values array<long>, terms array<long>")
+
+
+def occurrences(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
+    """(did, th, term, s, e): where words that pass the filter stand in each row, outside its base spans."""
+    held, size = docs.sparkSession.sparkContext.broadcast(bits), len(bits) * 64
+
+    def passes(h):
+        ok = np.ones(len(h), bool)
+        for j in range(HASHES):
+            at = (h >> np.uint64(18 * j)) & np.uint64(size - 1)
+            ok &= (held.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+        return ok
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return keyed.mapInArrow(run, "did long, th long, base array<struct<kind:int,s:long,e:long>>, near array<struct<s:long,e:long,value:long,term:long>>")
+    def run(batches):
+        for batch in batches:
+            for i, j, data, offs in text_slices(batch.column(2)):
+                h, rows, _, _ = word_hashes(data, offs)
+                hit = np.unique(np.repeat(np.arange(j - i), np.diff(rows))[passes(h)])
+                spans = [[] for _ in range(j - i)]
+                for r in hit:
+                    spans[r] = base_spans(batch.column(2)[i + int(r)].as_py())
+                if len(hit):
+                    h, row, s, e, _, _ = free_words(data, offs, spans)
+                    ok = passes(h)
+                    of_row = [batch.column(c).take(pa.array(i + row[ok])) for c in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*of_row, pa.array(h[ok].view(np.int64)), pa.array(s[ok]), pa.array(e[ok])], ["did", "th", "term", "s", "e"])
+
+    return keyed_texts(docs, text).mapInArrow(run, "did long, th long, term long, s long, e long")
+
+
+def term_filter(terms: DataFrame) -> np.ndarray:
+    """A Bloom filter of the terms, as words of 64 bits; its words are made on the executors."""
+    size = min(MOST_BITS, 1 << max(16, (FILTER_BITS * terms.count()).bit_length()))
+    at = terms.select(F.explode(F.array(*[F.shiftrightunsigned("term", 18 * j).bitwiseAND(F.lit(size - 1)) for j in range(HASHES)])).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def term_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -111,32 +179,41 @@ def term_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing(near: DataFrame, counts: DataFrame, n_docs: int, support: int, generalise: float, remove: float) -> DataFrame:
-    """(value, term, removed): the terms whose pointwise mutual information with a value is `generalise` of its information or more.
+def disclosing(rows: DataFrame, counts: DataFrame, n_docs: int, support: int, generalise: float, remove: float) -> DataFrame:
+    """(term, removed): the terms whose pointwise mutual information with a value is `generalise` of the value's information or more.
 
-    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value), all over documents. A term that fewer than
-    `support` documents hold beside the value tells too little.
+    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value), all over documents: a term counts wherever it
+    stands in a document that holds the value. Values of the same documents count once. As p(value, term) <= p(value), only terms with
+    p(term) <= p(value) ** generalise can pass, so others go before they are paired.
     """
-    seen = near.select("did", "th", "value", "term").distinct()
-    both = seen.groupBy("value", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
-    value = near.select("did", "th", "value").distinct().groupBy("value").agg(F.count("*").alias("v"))
-    scored = both.join(value, "value").join(counts, "term").withColumn("share", (F.log(F.col("c") * n_docs) - F.log("v") - F.log("n")) / F.greatest(F.log(F.lit(n_docs) / F.col("v")), F.lit(1e-9)))
-    return scored.where((F.col("share") >= generalise) & (F.col("v") < n_docs)).select("value", "term", (F.col("share") >= remove).alias("removed"))
-
-
-def personal_spans(docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(did, th, base, more) for each row of docs: doc_id, the text's hash, base spans, and the disclosing terms as spans.
+    held = rows.select("rid", F.explode("values").alias("value"))
+    own = held.groupBy("value").agg(F.count("*").alias("v"), F.sum(F.xxhash64("rid").cast("decimal(20,0)")).alias("docs"))
+    own = own.select("value", "v", F.xxhash64("v", "docs").alias("cls"))
+    held = materialize(held.join(own, "value").where(F.col("v") < n_docs).select("rid", "cls", "v").distinct())
+    most = held.groupBy("rid").agg((F.pow(F.max("v") / n_docs, F.lit(generalise)) * n_docs * (1 + 1e-9)).alias("limit"))
+    terms = rows.where("size(terms) > 0").select("rid", "terms").join(most, "rid").select("rid", "limit", F.explode("terms").alias("term"))
+    is_common = F.col("n") > COMMON * n_docs
+    terms = terms.join(F.broadcast(counts.where(is_common)), "term", "left").where("n is null or n <= limit")
+    rare = terms.where("n is null").drop("n").join(counts.where(~is_common), "term").where("n <= limit")
+    both = rare.select("rid", "term", "n").union(terms.where("n is not null").select("rid", "term", "n")).join(held, "rid")
+    both = both.groupBy("cls", "term").agg(F.count("*").alias("c"), F.first("v").alias("v"), F.first("n").alias("n")).where(F.col("c") >= support)
+    share = (F.log(F.col("c") * n_docs) - F.log("v") - F.log("n")) / F.greatest(F.log(F.lit(n_docs) / F.col("v")), F.lit(1e-9))
+    return both.select("term", share.alias("share")).where(F.col("share") >= generalise).groupBy("term").agg((F.max("share") >= remove).alias("removed"))
+
+
+def personal_spans(docs: DataFrame, text: str = "text", near: int | None = NEAR, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """(did, th, base, more) for each row of docs: doc_id, the text's hash, base spans, and every occurrence of a disclosing term as spans.
 
     Null texts are empty and have no spans. Repeated rows get the same spans; rows without an id are told apart by their texts. A table
-    without personal data, or without rows, gives none. Other columns are ignored.
+    without personal data, or without rows, gives none. Other columns are ignored. Without `near`, all terms of a value's documents count.
     """
-    rows = materialize(scan(docs, text))
-    near = rows.where("size(near) > 0").select("did", "th", F.explode("near").alias("x")).select("did", "th", "x.*")
-    n_docs = rows.count()
-    risky = disclosing(near, term_counts(docs, text), n_docs, support, generalise, remove)
-    hit = near.join(risky, ["value", "term"]).groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("s", "e", "removed"))).alias("more"))
+    rows = materialize(scan(docs, text, near))
+    counts = materialize(term_counts(docs, text))
+    risky = materialize(disclosing(rows, counts, rows.count(), support, generalise, remove))
+    found = occurrences(docs, text, term_filter(risky)).join(risky, "term")
+    hit = found.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("s", "e", "removed"))).alias("more"))
     hit = hit.select(F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("no_id"), "th", "more")
-    keyed = rows.select("*", F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("no_id"))
+    keyed = rows.select("did", "th", "base", F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("no_id"))
     return keyed.join(hit, ["d", "no_id", "th"], "left").select("did", "th", "base", F.coalesce("more", F.array().cast("array<struct<s:long,e:long,removed:boolean>>")).alias("more"))
 
 
@@ -156,7 +233,7 @@ def span_columns(found: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     """docs with personal data replaced in text: base spans by [EMAIL], [IP], [CARD], [PHONE]; disclosing terms by [TERM], or removed where
     they give away nearly all. All other columns stay; a null text stays null."""
-    found = personal_spans(docs, text, **settings).where("size(base) > 0").select("did", "th", "base", "more").dropDuplicates(["did", "th"])
+    found = personal_spans(docs, text, **settings).where("size(base) > 0 or size(more) > 0").select("did", "th", "base", "more").dropDuplicates(["did", "th"])
     found = found.select(F.coalesce("did", F.lit(-1)).alias("_d"), F.col("did").isNull().alias("_n"), F.col("th").alias("_h"), "base", "more")
     d = F.col("doc_id").cast("long")
     keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(d, F.lit(-1)).alias("_d"), d.isNull().alias("_n"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"))

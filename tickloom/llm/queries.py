@@ -117,7 +117,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: personal data and the terms that disclose it."""
-    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir)))
+    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir), **pii.WHOLE))
 
 
 def _digests(ids: list, bpe) -> tuple:
