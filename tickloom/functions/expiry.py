@@ -58,6 +58,12 @@ def latest_session(calendar: DataFrame, day: str, look_back: int = 30) -> DataFr
     return calendar.where((F.col("session_date") <= d) & (F.col("session_date") >= F.date_sub(d, look_back))).agg(F.max("session_date").alias("session_date"))
 
 
+def mark_sessions(days: DataFrame, calendar: DataFrame, day: str = "day") -> DataFrame:
+    """days with is_session: whether the calendar has the day."""
+    known = calendar.select(F.col("session_date").alias(day)).distinct().withColumn("is_session", F.lit(True))
+    return days.join(known, day, "left").withColumn("is_session", F.coalesce("is_session", F.lit(False)))
+
+
 def weekdays(spark, first: str, last: str) -> DataFrame:
     """A calendar of all weekdays, where no list of sessions is given."""
     days = spark.sql(f"SELECT explode(sequence(date '{first}', date '{last}')) AS session_date")

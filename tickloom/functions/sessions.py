@@ -66,6 +66,7 @@ def us_session(day: Column, venue: str) -> Column:
 
 
 def option_close_ns(day: Column, is_index: Column) -> Column:
-    """Nanoseconds at the end of the last slot on the day that an option expires."""
-    ends = [F.unix_seconds(eastern_to_utc(day, US_SLOTS[v][-1][1])) for v in ("xcbo_index", "xcbo_equity")]
-    return F.when(is_index, ends[0]).otherwise(ends[1]) * F.lit(1_000_000_000).cast("long")
+    """Nanoseconds at the end of the last slot on the day that an option expires; one conversion for both kinds."""
+    ends = [int(US_SLOTS[v][-1][1][:2]) * 60 + int(US_SLOTS[v][-1][1][2:]) for v in ("xcbo_index", "xcbo_equity")]
+    local = F.timestamp_seconds(F.unix_date(day).cast("long") * 86_400 + 60 * F.when(is_index, ends[0]).otherwise(ends[1]))
+    return F.unix_seconds(F.to_utc_timestamp(local, EASTERN)) * F.lit(1_000_000_000).cast("long")

@@ -9,7 +9,7 @@ from .sessions import option_close_ns
 _MONTH = r"(?:JAN|FEB|MAR|APR|MAY|JUN|JUL|AUG|SEP|OCT|NOV|DEC)"
 #: Fixed patterns: the root is the shortest text before a year and month.
 ROOTS = {"EQ": r"^[^:]+:(.+)-EQ$", "FUT": rf"^[^:]+:(.+?)\d{{2}}{_MONTH}FUT$", "OPT": rf"^[^:]+:(.+?)\d{{2}}{_MONTH}\d+(?:\.\d+)?(?:CE|PE)$"}
-OCC = r"^(.*?)(\d{6})([CP])(\d{8})\s*$"
+OCC_TAIL = r"^\d{6}[CP]\d{8}$"
 MONTH_YEAR = r"([FGHJKMNQUVXZ])(\d)$"
 FUTURE_OPTION = r"\s+([CP])(\d+)(?:\.(\d+))?\s*$"
 MONTH_CODES = "FGHJKMNQUVXZ"
@@ -39,19 +39,22 @@ def _nanos(whole_digits: Column, fraction: Column) -> Column:
 def occ(symbol: Column, pivot: int = PIVOT) -> Column:
     """root, option type, strike, expiration (nanoseconds) and whether it is an option of an index; of another symbol empty texts and zeros.
 
-    expiration is null where the date does not exist.
+    expiration is null where the date does not exist. All but the root has a fixed width, so one pattern is matched, on the last 15 characters.
     """
-    s = F.trim(symbol)
-    part = lambda i: F.regexp_extract(s, OCC, i)
-    found = F.regexp_like(s, F.lit(OCC))
-    root = F.upper(F.replace(F.trim(part(1)), F.lit(" "), F.lit("")))
-    yy = F.substring(part(2), 1, 2).try_cast("int")
-    text = F.concat(F.when(yy <= pivot, "20").otherwise("19"), F.substring(part(2), 1, 2), F.lit("-"), F.substring(part(2), 3, 2), F.lit("-"), F.substring(part(2), 5, 2))
-    close = option_close_ns(text.try_cast("date"), is_index_root(root))
+    s = F.btrim(symbol, F.lit(" \t\r\n"))
+    tail = F.substring(s, -15, 15)
+    found = tail.rlike(OCC_TAIL)
+    root = F.upper(F.replace(F.substring(s, F.lit(1), F.length(s) - 15), F.lit(" "), F.lit("")))
+    yy, month, day = (F.substring(tail, i, 2).try_cast("int") for i in (1, 3, 5))
+    year = yy + F.when(yy <= pivot, 2000).otherwise(1900)
+    real = (month >= 1) & (month <= 12) & (day >= 1) & (day <= F.dayofmonth(F.last_day(F.make_date(year, F.when(month.between(1, 12), month).otherwise(1), F.lit(1)))))
+    # A date that does not exist gives null: make_date would raise in ANSI mode.
+    close = option_close_ns(F.when(found & real, F.make_date(year, month, day)), is_index_root(root))
     zero = F.lit(0).cast("long")
     return F.struct(
-        F.when(found, root).otherwise("").alias("root"), side(part(3)).alias("option_type"), F.coalesce(part(4).try_cast("long") * (US_SCALE // 1000), zero).alias("strike"), F.when(found, close).otherwise(zero).alias("expiration"), (found & is_index_root(root)).alias("is_index")
-    )
+        F.when(found, root).otherwise("").alias("root"), F.when(found, side(F.substring(tail, 7, 1))).otherwise("").alias("option_type"),
+        F.when(found, F.substring(tail, 8, 8).try_cast("long") * (US_SCALE // 1000)).otherwise(zero).alias("strike"), F.when(found, close).otherwise(zero).alias("expiration"), (found & is_index_root(root)).alias("is_index"),
+    )
 
 
 def month_code_expiration(base: Column, year: Column) -> Column:

@@ -20,9 +20,24 @@ def fill_forward(buckets: DataFrame, keys: list, value: str, unit: str = "minute
     return spread.select(*keys, F.explode(F.sequence("bucket", "_to", step)).alias("bucket"), value)
 
 
-def on_index(index: DataFrame, series: DataFrame, ts: str = "ts") -> DataFrame:
-    """Every row of the index with the series' values at its time, or nulls."""
-    return index.join(series, ts, "left")
+def on_index(index: DataFrame, series: DataFrame, on: list) -> DataFrame:
+    """Every row of the index with the series' values at its time, or nulls; on: the time and what else both have."""
+    return index.join(series, on, "left")
+
+
+def sessions_of(underlyings: DataFrame, days: DataFrame) -> DataFrame:
+    """Every underlying with every session: two short lists, of which one goes to all tasks."""
+    return underlyings.crossJoin(F.broadcast(days))  # a list of days that was asked for
+
+
+def allowed(rows: DataFrame, names: DataFrame, key: str = "underlying") -> DataFrame:
+    """Rows of the names in a list."""
+    return rows.join(names.select(F.upper("symbol").alias("_name")), F.upper(F.col(key)) == F.col("_name"), "left_semi")
+
+
+def unknown_exchanges(underlyings: DataFrame, known: list) -> DataFrame:
+    """(exchange): the exchanges of a list that are not known."""
+    return underlyings.select("exchange").where(F.col("exchange").isNotNull() & ~F.col("exchange").isin(known)).distinct()
 
 
 def last_value(bars: DataFrame, keys: list, value: str, ts: str = "ts", ties: tuple = ()) -> DataFrame:
@@ -41,6 +56,11 @@ def strike_window(strikes: Column, spot: Column, around: int = 10) -> Column:
     return F.slice(strikes, first + 1, near + around - first + 1)
 
 
+def at_strikes(rows: DataFrame, strikes: DataFrame, keys: list) -> DataFrame:
+    """Rows whose strike is among those wanted(keys, strikes)."""
+    return rows.join(strikes.select(*keys, F.explode("strikes").alias("strike")), [*keys, "strike"], "left_semi")
+
+
 def nearest_strikes(strikes: Column, ltp: Column, n: int = 3) -> Column:
     """The n strikes nearest to ltp, nearest first; lower strikes first where two are equally near."""
     return F.transform(F.slice(F.array_sort(F.transform(strikes, lambda k: F.struct(F.abs(k - ltp).alias("d"), k.alias("k")))), 1, n), lambda x: x["k"])
@@ -52,17 +72,25 @@ def paired(quotes: DataFrame, keys: list, price: str = "mid", side: str = "side"
     return quotes.groupBy(*keys, "strike").agg(first("C").alias("call"), first("P").alias("put"))
 
 
-def straddle(pairs: DataFrame, minutes: DataFrame, keys: list, n: int = 3) -> DataFrame:
-    """(minutes' columns, straddle, vt) over the n strikes nearest to ltp of those quoted on both sides.
+def both_sides(definitions: DataFrame, keys: list) -> DataFrame:
+    """(keys, strikes): the sorted strikes that are defined as a call and as a put."""
+    sides = definitions.groupBy(*keys, "strike").agg(F.max(F.col("side") == "C").alias("_c"), F.max(F.col("side") == "P").alias("_p"))
+    return ladder(sides.where("_c AND _p"), keys)
+
+
+def straddle(strikes: DataFrame, prices: DataFrame, minutes: DataFrame, keys: list, n: int = 3) -> DataFrame:
+    """(minutes' columns, straddle, vt) over the n strikes nearest to ltp of those defined on both sides.
 
-    minutes has the keys, ts, ltp and expiry. straddle = sum of twice the lesser price, times 10000 / ltp; vt = 100 * straddle / root of the
-    minutes to expiry. Both are null where no strike has both prices, or ltp is not positive.
+    strikes(keys, strikes) as of both_sides; prices(keys, ts, strike, call, put); minutes has the keys, ts, ltp and expiry. Of the chosen
+    strikes, those without both prices at that minute are left out: straddle = sum of twice the lesser price, times 10000 / ltp; vt = 100 *
+    straddle / root of the minutes to expiry. Both are null where none is left, or ltp is not positive.
     """
-    quoted = pairs.where(F.col("call").isNotNull() & F.col("put").isNotNull()).select(*keys, F.struct(F.col("strike").alias("k"), (2 * F.least("call", "put")).alias("p")).alias("q"))
-    lists = quoted.groupBy(*keys).agg(F.collect_list("q").alias("qs"))
-    d = F.transform("qs", lambda q: F.struct(F.abs(q["k"] - F.col("ltp")).alias("d"), q["k"].alias("k"), q["p"].alias("p")))
-    total = F.aggregate(F.slice(F.array_sort(d), 1, n), F.lit(0.0), lambda s, x: s + x["p"])
-    joined = minutes.join(lists, keys, "left").withColumn("straddle", F.when((F.size("qs") > 0) & (F.col("ltp") > 0), total * 10_000 / F.col("ltp"))).drop("qs")
+    own = prices.where(F.col("call").isNotNull() & F.col("put").isNotNull()).groupBy(*keys, "ts")
+    own = own.agg(F.map_from_entries(F.collect_list(F.struct(F.col("strike"), (2 * F.least("call", "put")).alias("p")))).alias("_prices"))
+    joined = minutes.join(strikes, keys, "left").join(own, [*keys, "ts"], "left")
+    some = F.filter(F.transform(nearest_strikes(F.col("strikes"), F.col("ltp"), n), lambda k: F.try_element_at("_prices", k)), lambda x: x.isNotNull())
+    total = F.aggregate("_some", F.lit(0.0), lambda s, x: s + x)
+    joined = joined.withColumn("_some", some).withColumn("straddle", F.when((F.size("_some") > 0) & (F.col("ltp") > 0), total * 10_000 / F.col("ltp"))).drop("_some", "_prices", "strikes")
     return joined.withColumn("vt", F.col("straddle") * 100 / F.sqrt(minutes_to_expiry(F.col("expiry"), F.col("ts"))))
 
 

@@ -4,9 +4,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.symbols import script_root
+from ..sources.files import first_of
 from .contracts import is_future, is_live, is_option
 
-#: Basket: (exchange, kind, template, root parser). Kinds: by_script, near, all, and chain with two expirations.
+#: Basket: (exchange, kind, template, root parser). Kinds: by_script, near, all, and chain with two expirations.
 BASKETS = {
     "XNSE_NIFTYFNO_EQUITY": ("XNSE", "by_script", "XNSE_NIFTYFNO_EQUITY", None),
     "XNSE_NIFTYFNO_FUTURES_NEAR": ("XNSE", "near", "XNSE_NIFTYFNO_EQUITY", "EQ"),
@@ -20,7 +21,7 @@ BASKETS = {
     **{f"XNSE_NIFTY{n}_EQUITY": ("XNSE", "by_script", f"XNSE_NIFTY{n}_EQUITY", None) for n in (50, 100, 200, 500)},
     "XNSE_NIFTY500_FUTURES": ("XNSE", "all", "XNSE_NIFTY500_EQUITY", "EQ"),
 }
-#: Baskets that are the rows of others, one after another.
+#: Baskets that are the rows of others, one after another.
 UNIONS = {"ALL_INDEX_FUTURES": ("XNSE_INDEX_FUTURES_NEAR", "XBOM_INDEX_FUTURES", "XIMC_FUTURES_ALL")}
 
 
@@ -30,8 +31,8 @@ def last_by_script(template: DataFrame, contracts: DataFrame, order: list, key:
     Contracts are cut down to the template's scripts before the last one is chosen.
     """
     some = contracts.join(template.select(key).distinct(), key, "left_semi")
-    last = some.groupBy(key).agg(F.max_by(F.struct(*[c for c in contracts.columns if c != key]), F.struct(*order)).alias("_c"))
-    return template.select("ordinal", key).join(last, key).select("ordinal", key, "_c.*")
+    last = first_of(some, [key], [F.desc(c) for c in order])
+    return template.select("ordinal", key).join(last, key).select("ordinal", key, *[c for c in contracts.columns if c != key])
 
 
 def missing_scripts(template: DataFrame, contracts: DataFrame, key: str = "script") -> DataFrame:
@@ -48,18 +49,16 @@ def of_roots(wanted: DataFrame, contracts: DataFrame, root: str) -> DataFrame:
 
 
 def nearest(contracts: DataFrame, root: str, expiration: str, ties: list) -> DataFrame:
-    """One contract of each root: of the least expiration, the first in the order of ties. A map-side aggregate, so frequent roots do no harm."""
-    others = [c for c in contracts.columns if c != root]
-    return contracts.groupBy(root).agg(F.min_by(F.struct(*others), F.struct(expiration, *ties)).alias("_c")).select(root, "_c.*")
+    """One contract of each root: of the least expiration, the first in the order of ties. Each task sends one row of a root at most."""
+    return first_of(contracts, [root], [expiration, *ties])
 
 
 def chain(contracts: DataFrame, root: str, expiration: str, n: int) -> DataFrame:
     """All contracts of the n nearest distinct expirations of each root.
 
-    Ranks are given to the distinct pairs of root and expiration only; the rows then join them, and a frequent root can be split.
+    One scan; before the shuffle each task drops what lies beyond its own n nearest expirations of a root, so what meets is a chain's size.
     """
-    ranked = contracts.select(root, expiration).distinct().withColumn("_n", F.row_number().over(Window.partitionBy(root).orderBy(expiration))).where(F.col("_n") <= n).drop("_n")
-    return contracts.join(ranked, [root, expiration], "left_semi")
+    return contracts.withColumn("_n", F.dense_rank().over(Window.partitionBy(root).orderBy(expiration))).where(F.col("_n") <= n).drop("_n")
 
 
 def coverage(template: DataFrame, contracts: DataFrame, key: str, by: list) -> DataFrame:

@@ -21,7 +21,7 @@ def unique_contracts(rows: DataFrame, order: list, keys: tuple = ("scriptToken",
 
 
 def is_live(expiration: Column, as_of: str) -> Column:
-    """Not expired before the day: what expires on it is live. A bound on a bare column, so that it reaches the scan."""
+    """Not expired before the day: what expires on it is live. On a stored column the bound reaches the scan."""
     return expiration >= day_start_ns(as_of)
 
 

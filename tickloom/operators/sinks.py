@@ -7,17 +7,41 @@ from pyspark.sql import functions as F
 def write_partitions(df: DataFrame, path: str, by: list, sort: list | None = None, kind: str = "parquet") -> None:
     """Replace the partitions of `by` that df has rows for, others stay; an empty df leaves all as it is."""
     out = df.sortWithinPartitions(*by, *sort) if sort else df
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(kind).save(path)
+    writer = _csv(out.write) if kind == "csv" else out.write
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(kind).save(path)
 
 
 def write_basket(df: DataFrame, path: str, date: str, basket: str) -> None:
-    """One basket of a day; an empty result replaces an older one too."""
-    df.drop("date", "basket").write.mode("overwrite").parquet(f"{path.rstrip('/')}/date={date}/basket={basket}")
+    """One basket of a day as CSV; an empty result replaces an older one too."""
+    write_csv(df.drop("date", "basket"), f"{path.rstrip('/')}/date={date}/basket={basket}")
+
+
+def write_baskets(df: DataFrame, path: str, date: str) -> None:
+    """All baskets of a day in one pass, each in a folder of its own."""
+    _csv(df.drop("date").write.mode("overwrite").partitionBy("basket")).csv(f"{path.rstrip('/')}/date={date}")
+
+
+def write_aggregates(contracts: DataFrame, baskets: DataFrame, path: str) -> None:
+    """The day's contracts and baskets as two CSV tables."""
+    for name, df in (("contracts", contracts), ("baskets", baskets)):
+        write_csv(df, f"{path.rstrip('/')}/{name}.csv")
+
+
+def push_day(contracts: DataFrame, basket_documents: DataFrame, url: str, day: str, mirror: str = "public", **properties) -> None:
+    """contracts and baskets into the day's schema and the baskets' own one, and again into the schema that always holds the latest."""
+    for schema in (dated_schema(day), mirror):
+        write_jdbc(contracts, url, f"{schema}.contracts", **properties)
+        write_jdbc(basket_documents, url, f"{schema}.baskets", **properties)
+    write_jdbc(basket_documents, url, f"{dated_schema(day)}_baskets.baskets", **properties)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV files with headers, quotes doubled; nulls are blank."""
-    df.write.mode("overwrite").options(header=True, escape='"', emptyValue="", nullValue="").csv(path)
+    _csv(df.write.mode("overwrite")).csv(path)
+
+
+def _csv(writer):
+    return writer.options(header=True, escape='"', emptyValue="", nullValue="")
 
 
 def write_bars(df: DataFrame, path: str) -> None:

@@ -28,10 +28,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from . import daily  # noqa: F401, its queries register themselves
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
+    queries()
     return dict(ORACLES)
 
 
@@ -39,9 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return table(spark, sf_dir, "lineitem").select(
+def line_contracts(spark: SparkSession, sf_dir: str, live: str | None = None) -> DataFrame:
+    """Contracts of lineitem; with live those that expire on that day or later, by a bound on the stored day that reaches the scan."""
+    flag, rows = F.col("l_returnflag"), table(spark, sf_dir, "lineitem")
+    rows = rows.where(F.col("l_shipdate") >= F.lit(live).cast("timestamp_ntz")) if live else rows
+    return rows.select(
         *ORDER, F.lit("XNSE").alias("exchange"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("script"), F.when(flag == "N", "FUTSTK").otherwise("OPTSTK").alias("scriptInstrumentType"),
         F.when(flag == "R", "CALL").when(flag == "A", "PUT").otherwise("").alias("optionType"), F.col("l_partkey").cast("string").alias("underlying_root"),
         (F.unix_micros(F.col("l_shipdate").cast("timestamp")) * 1000).alias("expiration"), numbers.scale_price(F.col("l_extendedprice")).alias("strike"),
@@ -56,15 +61,15 @@ _OUT = ", ".join(OUT)
 
 
 def _live(spark, sf_dir) -> DataFrame:
-    return line_contracts(spark, sf_dir).where(contracts.is_live(F.col("expiration"), AS_OF))
+    return line_contracts(spark, sf_dir, AS_OF)
 
 
 def _wanted(spark, sf_dir) -> DataFrame:
-    return baskets.roots(table(spark, sf_dir, "part").where("p_size <= 10").select(F.col("p_partkey").alias("ordinal")), F.col("ordinal").cast("string"))
+    return baskets.roots(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal")), F.col("ordinal").cast("string"))
 
 
 _NEAR = f"SELECT {_OUT} FROM live WHERE kind = 'N' QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY expiration, {_ORDER}) = 1"
-_ALL = f"SELECT {_OUT} FROM live WHERE kind = 'N' AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10)"
+_ALL = f"SELECT {_OUT} FROM live WHERE kind = 'N' AND l_partkey IN (SELECT p_partkey FROM part)"
 _CHAIN = f"SELECT {_OUT} FROM live WHERE kind <> 'N' QUALIFY dense_rank() OVER (PARTITION BY l_partkey ORDER BY expiration) <= 2"
 
 
@@ -94,11 +99,11 @@ def basket_union(spark, sf_dir):
 
 
 def _template(spark, sf_dir) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0")
+    orders = table(spark, sf_dir, "orders")
     return orders.select(F.col("o_orderkey").alias("ordinal"), F.concat_ws("-", "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(99)).alias("script"), "o_orderpriority")
 
 
-_T = "t AS (SELECT o_orderkey AS ordinal, o_orderkey || '-' || CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 99 END AS script, o_orderpriority FROM orders WHERE o_orderkey % 7 = 0)"
+_T = "t AS (SELECT o_orderkey AS ordinal, o_orderkey || '-' || CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 99 END AS script, o_orderpriority FROM orders)"
 
 
 @query(f"WITH {_C}, {_T}, k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY script ORDER BY {', '.join(x + ' DESC' for x in ORDER)}) = 1) SELECT ordinal, script, {_OUT} FROM t JOIN k USING (script)")
@@ -317,23 +322,6 @@ def nearest3(spark, sf_dir):
     return rows.select("event_id", (F.col("n") + 1).alias("n"), "strike")
 
 
-@query("""
-WITH m AS (SELECT CAST(ts AS DATE) AS day, max(ts) AS ts, arg_max(value, (ts, event_id)) AS ltp FROM events WHERE event_type = 'view' GROUP BY 1),
-q AS (SELECT CAST(ts AS DATE) AS day, (user_id % 20) * 25 AS strike, arg_min(value, event_id) FILTER (event_type = 'purchase') AS c, arg_min(value, event_id) FILTER (event_type = 'click') AS p FROM events GROUP BY 1, 2),
-n AS (SELECT m.day, 2 * least(c, p) AS v, row_number() OVER (PARTITION BY m.day ORDER BY abs(strike - ltp), strike) AS n FROM m JOIN q ON q.day = m.day WHERE c IS NOT NULL AND p IS NOT NULL),
-s AS (SELECT day, ts, ltp, CASE WHEN ltp > 0 THEN v * 10000 / ltp END AS straddle FROM m LEFT JOIN (SELECT day, sum(v) AS v FROM n WHERE n <= 3 GROUP BY 1) USING (day))
-SELECT CAST(day AS VARCHAR) AS day, round(straddle, 6) AS straddle,
-  round(straddle * 100 / sqrt(greatest((epoch_us(CAST(day + CAST((11 - isodow(day) - 6) % 7 + CASE WHEN isodow(day) > 5 THEN 7 ELSE 0 END AS INT) AS TIMESTAMP)) + 21 * 3600000000 - epoch_us(ts)) / 6e7, 1)), 6) AS vt FROM s""")
-def straddle_vt(spark, sf_dir):
-    """Straddle and its ratio to the time left for each day, to Friday's close."""
-    t = ticks(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
-    minutes = t.where("event_type = 'view'").groupBy("day").agg(F.max("ts").alias("ts"), F.max_by("value", F.struct("ts", "event_id")).alias("ltp"))
-    minutes = minutes.withColumn("expiry", F.date_add("day", expiry.days_to_friday(F.col("day"))))
-    side = F.when(F.col("event_type") == "purchase", "C").when(F.col("event_type") == "click", "P")
-    pairs = bars.paired(t.select("day", ((F.col("user_id") % 20) * 25).alias("strike"), side.alias("side"), F.col("event_id").alias("symbol"), F.col("value").alias("mid")), ["day"])
-    return bars.straddle(pairs, minutes, ["day"]).select(F.col("day").cast("string").alias("day"), F.round("straddle", 6).alias("straddle"), F.round("vt", 6).alias("vt"))
-
-
 @query("""
 WITH c AS (SELECT CAST(d AS DATE) AS d FROM range(DATE '2023-12-25', DATE '2024-02-10', INTERVAL 1 DAY) AS t(d) WHERE isodow(d) < 6 AND CAST(d AS DATE) NOT IN (DATE '2024-01-19', DATE '2024-01-26', DATE '2024-01-25')),
 x AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
@@ -365,10 +353,10 @@ def time_of_day_store(spark, sf_dir):
 
 
 @query("""
-WITH e AS (SELECT user_id, event_type AS date, event_id % 2 AS part, arg_min(value, (ts, event_id)) AS v FROM events WHERE user_id % 5 <> 3 OR event_id % 2 = 0 GROUP BY 1, 2, 3)
+WITH e AS (SELECT user_id, event_type AS date, CASE user_id % 5 WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE event_id % 2 END AS part, arg_min(value, (ts, event_id)) AS v FROM events GROUP BY 1, 2, 3)
 SELECT user_id, date, coalesce(max(v) FILTER (part = 1), max(v) FILTER (part = 0)) AS value FROM e GROUP BY 1, 2""")
 def upsert_merge(spark, sf_dir):
-    """Two stores merged, the new entries winning; as rows."""
-    t = ticks(spark, sf_dir).where("user_id % 5 <> 3 OR event_id % 2 = 0")
-    half = lambda i: bars.time_of_day_store(t.where(F.col("event_id") % 2 == i), "user_id", "event_type", "value", ["ts", "event_id"])
+    """Two stores merged, the new entries winning, some users in one of them only; as rows."""
+    t = ticks(spark, sf_dir).withColumn("part", F.expr("CASE user_id % 5 WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE event_id % 2 END"))
+    half = lambda i: bars.time_of_day_store(t.where(F.col("part") == i), "user_id", "event_type", "value", ["ts", "event_id"])
     return bars.merge_store(half(0), half(1), "user_id").select("user_id", F.explode("data").alias("date", "value"))

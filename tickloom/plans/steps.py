@@ -50,4 +50,8 @@ def arguments(argv: list) -> argparse.Namespace:
     p.add_argument("--data", required=True, help="folder of the Parquet tables")
     p.add_argument("--out", help="folder for results; without it they are shown")
     p.add_argument("--dry", action="store_true", help="explain only")
-    return p.parse_args(argv)
+    p.add_argument("--only", action="append", help="steps or groups of steps")
+    p.add_argument("--push", action="store_true", help="write to the database; asking for that step only implies it")
+    args = p.parse_args(argv)
+    args.push = args.push or args.only == ["database"]
+    return args
