@@ -2,9 +2,12 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_watched: list = []
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir. Only a local session, such as a test's, may go without that setting."""
@@ -14,7 +17,21 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
+    for made in _watched:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def watch():
+    """The folders that scratch_dir gives out inside, as a list."""
+    made: list = []
+    _watched.append(made)
+    try:
+        yield made
+    finally:
+        _watched.remove(made)
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
