@@ -1,4 +1,4 @@
-"""Encoding and decoding with reuse of content-defined chunks: the most repeated chunks of the corpus are encoded once, joins are repaired."""
+"""Encoding and decoding with reuse of content-defined chunks: a chunk that repeats is encoded once, joins are encoded anew."""
 
 import json
 from array import array
@@ -9,14 +9,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, materialize, powers, process_memo, text_slices
+from .common import U, bloom_filter, materialize, may_hold, powers, process_memo, quoted, text_slices
 
 #: Bytes under the rolling hash; a chunk has about MEAN bytes, LEAST at least.
 ROLL, MEAN, LEAST = 16, 1024, 256
-#: Chunks encoded once for all documents: those that repeat in most bytes. The rest are encoded where they stand.
-SHARED, SHARED_BYTES = 8_000, 8_192
-MEMO_WORDS, MEMO_BYTES = 300_000, 64
-SPACE = b" \t\n\r\x0b\x0c"
+#: Words in a worker's memo, and the longest that is kept; chunks that a task remembers to have sent.
+MEMO_WORDS, MEMO_BYTES, SENT = 300_000, 64, 500_000
+#: Kinds of rows of the first pass: a text that is done, a part of a text, and a chunk to encode.
+DONE, PART, CHUNK = 0, 1, 2
 
 
 def chunk_cuts(data: np.ndarray, offs: np.ndarray) -> list:
@@ -71,142 +71,165 @@ class WordBpe:
     def word(self, w: bytes) -> bytes:
         return self.memo.get(w) or array(self.code, self.tok.encode(w.decode(), add_special_tokens=False).ids).tobytes()
 
-    def encode(self, chunk: bytes) -> bytes:
-        return b"".join([self.word(w) for w in chunk.split()])
+    def encode(self, data: bytes) -> bytes:
+        words = data.split()
+        try:
+            return b"".join(map(self.memo.__getitem__, words))
+        except KeyError:
+            return b"".join(map(self.word, words))
+
+    def ids(self, code: bytes) -> list:
+        return np.frombuffer(code, "<u2" if self.code == "H" else "<u4").tolist()
 
     def decode(self, ids: list) -> str:
         """As the library's decode(ids, skip_special_tokens=False)."""
-        return " ".join([self.tokens[i] for i in ids]) if self.joined else self.tok.decode(ids, skip_special_tokens=False)
+        return " ".join(map(self.tokens.__getitem__, ids)) if self.joined else self.tok.decode(ids, skip_special_tokens=False)
 
 
-def edges(chunk: bytes) -> tuple:
-    """(what stands before the first white space, what stands after the last); None for a chunk without white space."""
-    first = len(chunk) - len(chunk.lstrip(SPACE))
-    if not first:
-        head = chunk.split(None, 1)[0] if chunk else b""
-        if len(head) == len(chunk):
-            return None
-    else:
-        head = b""
-    tail = b"" if chunk[-1:] in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c") else chunk.rsplit(None, 1)[-1]
-    return head, tail
+def edges(data: bytes) -> tuple | None:
+    """(where the first white space is, where the last one ends); None for bytes without white space."""
+    first = len(data.split(None, 1)[0]) if data and not data[:1].isspace() else 0
+    if first == len(data):
+        return None
+    return first, len(data) if data[-1:].isspace() else len(data) - len(data.rsplit(None, 1)[-1])
 
 
-def assemble(bpe: WordBpe, parts: list) -> bytes:
-    """The codes of a text from those of its chunks, parts being (chunk, code).
+def part_of(bpe: WordBpe, data: bytes) -> tuple:
+    """(head, code, tail): the words that the part's ends may cut through, as bytes, and the codes of all words between; code is None
+    where there is no white space, and head is all."""
+    at = edges(data)
+    return (data, None, b"") if at is None else (data[: at[0]], bpe.encode(data[at[0] : at[1]]), data[at[1] :])
 
-    Where a cut runs through a word, the ends of both chunks are encoded anew as one. The codes of the two ends alone must be how the
-    chunks' codes end and start; if they are not, the join is widened to all that lies between.
-    """
+
+def assemble(bpe: WordBpe, parts) -> bytes:
+    """The codes of a text from its parts (head, code, tail): what two parts' ends make together is encoded anew, which is exact, as
+    no token reaches over white space."""
     out, tail = [], b""
-    for chunk, code in parts:
-        ends = edges(chunk)
-        if ends is None:
-            tail += chunk
+    for head, code, last in parts:
+        if code is None:
+            tail += head
             continue
-        head, last = ends
-        a, z = bpe.word(head) if head else b"", bpe.word(last) if last else b""
-        if not (code.startswith(a) and code.endswith(z) and len(a) + len(z) <= len(code)):
-            code, a, z = bpe.encode(chunk[len(head) : len(chunk) - len(last)]), b"", b""
         if tail or head:
-            out.append(bpe.word(tail + head) if tail and head else bpe.word(tail or head))
-        out.append(code[len(a) : len(code) - len(z)])
+            out.append(bpe.word(tail + head))
+        out.append(code)
         tail = last
     if tail:
         out.append(bpe.word(tail))
     return b"".join(out)
 
 
-def repeated_chunks(docs: DataFrame, text: str, most: int) -> list:
-    """Hashes of the most chunks that repeat in most bytes over all documents; counts cover every chunk."""
+def chunk_hashes(raw: bytes, start: int, cut: list) -> np.ndarray:
+    """The 128-bit hashes of a row's chunks, one row each."""
+    digests = b"".join([xxhash.xxh3_128_digest(raw[start + a : start + z]) for a, z in zip(cut[:-1], cut[1:], strict=True)])
+    return np.frombuffer(digests, U).reshape(-1, 2)
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """(a, b) of every chunk that stands in more than one place of docs(did, text)."""
 
     def run(batches):
         for batch in batches:
             for _, _, data, offs in text_slices(batch.column(0)):
-                raw, h, n = data.tobytes(), [], []
-                for s, cut in zip(offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
-                    for a, z in zip(cut[:-1], cut[1:], strict=True):
-                        if z - a <= SHARED_BYTES:
-                            h.append(xxhash.xxh3_64_intdigest(raw[s + a : s + z]) - (1 << 63))
-                            n.append(z - a)
-                h, first, count = np.unique(np.array(h, np.int64), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.array(n, np.int64)[first]), pa.array(count.astype(np.int64))], ["h", "n", "c"])
-
-    found = docs.select(text).mapInArrow(run, "h long, n long, c long").groupBy("h").agg(F.max("n").alias("n"), F.sum("c").alias("c"))
-    saved = materialize(found.where("c > 1 and n >= 32").select("h", ((F.col("c") - 1) * F.col("n")).alias("saved")))
-    sizes = sorted(((r.k, r.n) for r in saved.groupBy(F.floor(F.log2("saved") * 4).alias("k")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    least, n = 0, 0  # a floor that most of the top exceed, so that few rows are sorted
-    for k, count in sizes:
-        least, n = k, n + count
-        if n >= most:
-            break
-    top = saved.where(F.floor(F.log2("saved") * 4) >= least).orderBy(F.desc("saved"), "h").limit(most)
-    return [r.h for r in top.collect()]
-
-
-def shared_codes(docs: DataFrame, text: str, path: str, most: int) -> dict:
-    """{hash: (chunk, code)} of the most repeated chunks, each encoded once; of bounded size."""
-    wanted = np.sort(np.array(repeated_chunks(docs, text, most), np.int64))
-    if not len(wanted):
-        return {}
-
-    def pick(batches):
-        seen = set()
-        for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
-                raw, h, at = data.tobytes(), [], []
-                for s, cut in zip(offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
-                    for a, z in zip(cut[:-1], cut[1:], strict=True):
-                        if z - a <= SHARED_BYTES:
-                            h.append(xxhash.xxh3_64_intdigest(raw[s + a : s + z]) - (1 << 63))
-                            at.append((s + a, s + z))
-                rows = [(x, raw[at[i][0] : at[i][1]]) for i, x in enumerate(h) if x not in seen and wanted[min(np.searchsorted(wanted, x), len(wanted) - 1)] == x and not seen.add(x)] if h else []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary())], ["h", "chunk"])
-
-    def encode(batches):
-        bpe = process_memo(f"words {path}", lambda: WordBpe(path))
-        for batch in batches:
-            chunks = batch.column(1).to_pylist()
-            bpe.learn(b" ".join(chunks))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([bpe.encode(c) for c in chunks], pa.binary())], ["h", "chunk", "code"])
+                raw = data.tobytes()
+                found = [chunk_hashes(raw, s, cut) for s, cut in zip(offs[:-1].tolist(), chunk_cuts(data, offs), strict=True)]
+                h, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].view(np.int64)), pa.array(h[:, 1].view(np.int64)), pa.array(n)], ["a", "b", "n"])
 
-    once = docs.select(text).mapInArrow(pick, "h long, chunk binary").groupBy("h").agg(F.min("chunk").alias("chunk"))
-    return {r.h: (bytes(r.chunk), bytes(r.code)) for r in once.mapInArrow(encode, "h long, chunk binary, code binary").collect()}
+    return docs.select("text").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 1").select("a", "b")
 
 
 def ids_and_text(ids: list, bpe: WordBpe) -> tuple:
     return ids, bpe.decode(ids)
 
 
-def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("ids", "array<int>"), ("decoded", "string")), text: str = "text", shared: int = SHARED) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("ids", "array<int>"), ("decoded", "string")), text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, <columns>) for each row of docs: the library's ids of the text and what they decode to.
 
-    Texts are cut where a rolling hash of their bytes says so, so equal passages give equal chunks. The `shared` chunks that repeat in
-    most bytes are encoded once and go to all tasks (bounded: SHARED chunks of SHARED_BYTES); others are encoded in place. Null is an
-    empty text, without tokens. Repeated rows, null ids and other columns make no difference. derive(ids, bpe) gives the columns' values.
+    Texts are cut where a rolling hash of their bytes says so, so equal passages give equal chunks. Chunks are counted over all texts.
+    In a second pass texts without repeated chunks are encoded; of the others, what stands between repeated chunks. Each repeated chunk
+    is sent on once by a task, encoded once in all, and its code joins its places by hash; then the parts of a text meet, and the
+    words that cuts run through are encoded. Chunks are compared by 128-bit hashes. Null is an empty text, without tokens. Texts of any
+    length are taken whole; repeated rows, null ids and other columns make no difference. derive(ids, bpe) gives the columns' values.
     """
-    codes = docs.sparkSession.sparkContext.broadcast(shared_codes(docs, text, path, shared))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("did"), F.coalesce(quoted(text), F.lit("")).alias("text"))
+    filter_bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(materialize(repeated_chunks(keyed)), "a"))
     arrow = {"array<int>": pa.list_(pa.int32()), "string": pa.string()}
-    types = [pa.int64(), pa.int64(), *(arrow[k] for _, k in columns)]
-    names = ["doc_id", "n_tokens", *(c for c, _ in columns)]
+    types = [pa.int64(), *(arrow[k] for _, k in columns)]
+    results = "n_tokens long, " + ", ".join(f"{c} {k}" for c, k in columns)
+    place = "kind int, rid long, did long, i int, a long, b long, head binary, code binary, tail binary, "
+    fields = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), *types]
+    names = [*(f.split()[0] for f in place.rstrip(", ").split(", ")), "n_tokens", *(c for c, _ in columns)]
+    blank = (None,) * len(types)
+
+    def finish(bpe, code):
+        ids = bpe.ids(code)
+        return len(ids), *derive(ids, bpe)
+
+    def first_pass(batches):
+        bpe, sent = process_memo(f"words {path}", lambda: WordBpe(path)), set()
+        for batch in batches:
+            for i, j, data, offs in text_slices(batch.column(2), 1 << 20):
+                raw, texts, rows = data.tobytes(), [], []
+                for rid, did, s, cut in zip(batch.column(0).slice(i, j - i).to_pylist(), batch.column(1).slice(i, j - i).to_pylist(), offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
+                    h = chunk_hashes(raw, s, cut)
+                    own, at = [], s
+                    for k in np.flatnonzero(may_hold(filter_bits.value, h[:, 0])).tolist():
+                        chunk = raw[s + cut[k] : s + cut[k + 1]]
+                        if edges(chunk):  # one without white space has no code of its own
+                            own += [(None, at, s + cut[k]), (k, s + cut[k], s + cut[k + 1])]
+                            at = s + cut[k + 1]
+                    texts.append((rid, did, h, [p for p in [*own, (None, at, s + cut[-1])] if p[2] > p[1]]))
+                bpe.learn(b"\n".join([raw[a:z] for *_, parts in texts for k, a, z in parts if k is None]))
+                for rid, did, h, parts in texts:
+                    if all(k is None for k, _, _ in parts):
+                        rows.append((DONE, rid, did, None, None, None, None, None, None, *finish(bpe, bpe.encode(raw[parts[0][1] : parts[0][2]] if parts else b""))))
+                        continue
+                    for n, (k, a, z) in enumerate(parts):
+                        if k is None:
+                            rows.append((PART, rid, did, n, None, None, *part_of(bpe, raw[a:z]), *blank))
+                            continue
+                        key = tuple(h[k].view(np.int64).tolist())
+                        rows.append((PART, rid, did, n, *key, None, None, None, *blank))
+                        if key not in sent:
+                            if len(sent) >= SENT:
+                                sent.clear()
+                            sent.add(key)
+                            rows.append((CHUNK, None, None, None, *key, None, raw[a:z], None, *blank))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), fields, strict=True)], names)
 
-    def run(batches):
-        bpe, known = process_memo(f"words {path}", lambda: WordBpe(path)), codes.value
+    def encode_once(batches):
+        bpe, last = process_memo(f"words {path}", lambda: WordBpe(path)), None
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(1), 1 << 20):
-                raw = data.tobytes()
-                bpe.learn(raw if j - i == 1 else b"\n".join(raw[s:e] for s, e in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)))
-                rows = []
-                for doc_id, s, cut in zip(batch.column(0).slice(i, j - i).to_pylist(), offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
-                    parts = []
-                    for a, z in zip(cut[:-1], cut[1:], strict=True):
-                        chunk = raw[s + a : s + z]
-                        code = known.get(xxhash.xxh3_64_intdigest(chunk) - (1 << 63)) if known and z - a <= SHARED_BYTES else None
-                        parts.append(code if code and code[0] == chunk else (chunk, bpe.encode(chunk)))
-                    ids = np.frombuffer(assemble(bpe, parts), bpe.code.replace("H", "<u2").replace("I", "<u4")).tolist()
-                    rows.append((doc_id, len(ids), *derive(ids, bpe)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-    schema = "doc_id long, n_tokens long, " + ", ".join(f"{c} {k}" for c, k in columns)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+            keys, chunks, rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)), batch.column(2), []
+            new = [k for k in range(len(keys)) if keys[k] != (keys[k - 1] if k else last)]
+            last = keys[-1] if keys else last
+            bpe.learn(b"\n".join([chunks[k].as_py() for k in new]))
+            rows = [(*keys[k], *part_of(bpe, chunks[k].as_py())) for k in new]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), fields[4:9], strict=True)], ["a", "b", "head", "code", "tail"])
+
+    def join_parts(batches):
+        bpe, held, of = process_memo(f"words {path}", lambda: WordBpe(path)), [], None
+        for batch in batches:
+            rows = []
+            for rid, did, *part in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                if of and of[0] != rid:
+                    rows.append((of[1], *finish(bpe, assemble(bpe, held))))
+                    held = []
+                of = rid, did
+                held.append(part)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *types], strict=True)], ["doc_id", *names[9:]])
+        if of:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((of[1], *finish(bpe, assemble(bpe, held))), [pa.int64(), *types], strict=True)], ["doc_id", *names[9:]])
+
+    passed = materialize(keyed.select(F.monotonically_increasing_id().alias("rid"), "did", "text").mapInArrow(first_pass, place + results), "kind")
+    chunks = passed.where(F.col("kind") == CHUNK).select("a", "b", F.col("code").alias("chunk"))
+    codes = materialize(chunks.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(encode_once, "a long, b long, head binary, code binary, tail binary"))
+    parts = passed.where(F.col("kind") == PART).select("rid", "did", "i", "a", "b", "head", "code", "tail")
+    known = parts.where("a is not null").select("rid", "did", "i", "a", "b").join(codes, ["a", "b"]).select("rid", "did", "i", "head", "code", "tail")
+    both = parts.where("a is null").drop("a", "b").unionByName(known).repartition("rid").sortWithinPartitions("rid", "i")
+    joined = both.select("rid", "did", "head", "code", "tail").mapInArrow(join_parts, "doc_id long, " + results)
+    done = passed.where(F.col("kind") == DONE).select(F.col("did").alias("doc_id"), *names[9:])
+    return done.unionByName(joined)

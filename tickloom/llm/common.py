@@ -1,45 +1,77 @@
 """Shared pieces: scratch tables, connected components, and vectorised words and shingles over Arrow text columns."""
 
-import builtins
-import re
-import tempfile
-import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import discard, scratch_dir
+
 WORD_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SLICE_BYTES = 2 << 20
 U = np.uint64
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir. Only a local session, such as a test's, may go without that setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
+#: Delete a job's shuffle files when it ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, **settings):
+    """Settings of the session for the jobs run inside; dots in names are given as double underscores."""
+    names = {k.replace("__", "."): v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def written(df: DataFrame, *by: str) -> tuple[DataFrame, str]:
+    """(df as read again from Parquet in the shared scratch folder, the path), which cuts the lineage; in folders of `by`, if given."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession)
+    with session_conf(spark, **{CLEANUP.replace(".", "__"): "true"}):
+        df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
 
+def materialize(df: DataFrame, *by: str) -> DataFrame:
+    return written(df, *by)[0]
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared scratch folder and read it again."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def quoted(name: str) -> Column:
+    """The column of that very name, which may hold dots and backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_struct(df: DataFrame, without: tuple = ()) -> Column:
+    """All columns of df but some as one struct, so that their names clash with none."""
+    return F.struct(*([quoted(c) for c in df.columns if c not in without] or [F.lit(1).alias("_")]))
+
+
+def field(struct: str, name: str) -> Column:
+    return F.col(struct).getField(name)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of edges(src, dst): comp is the smallest node reachable.
 
-    Alternating large-star and small-star steps until every component is a star around its smallest node. Each step is an
-    aggregate with map-side combining and a join that AQE can split, so that no node's neighbours meet in one task.
+    Alternating large-star and small-star steps until every component is a star around its smallest node. The least neighbours are
+    written before they are joined: then both sides of the join are plain shuffles, and AQE splits the edges of a hub. Tables of earlier
+    rounds are deleted.
     """
+    spark, old = edges.sparkSession, []
+
+    def keep(df: DataFrame) -> DataFrame:
+        df, path = written(df)
+        old.append(path)
+        return df
 
     def oriented(e: DataFrame) -> DataFrame:
         return e.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
@@ -49,15 +81,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         forked = e.groupBy("src").agg(F.count("*").alias("n")).where("n > 1").select("src")
         return not chained.union(forked).limit(1).count()
 
-    e = materialize(oriented(edges))
+    e = keep(oriented(edges))
     while not is_stars(e):
         both = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-        large = oriented(both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")))
-        large = materialize(large)
-        least = large.groupBy("src").agg(F.min("dst").alias("m"))
+        least = keep(both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m")))
+        large = keep(oriented(both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))))
+        least = keep(large.groupBy("src").agg(F.min("dst").alias("m")))
         small = large.join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-        e = materialize(oriented(small.union(least.select("src", F.col("m").alias("dst")))))
+        e = keep(oriented(small.union(least.select("src", F.col("m").alias("dst")))))
+        discard(spark, *old[:-1])
+        del old[:-1]
     return e.select(F.col("src").alias("node"), F.col("dst").alias("comp")).union(e.select(F.col("dst").alias("node"), F.col("dst").alias("comp")).distinct())
 
 
@@ -105,25 +138,45 @@ LOWER_LUT[65:91] += 32
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = True):
-    """(hash of each word, first word of each row and the end, start byte, end byte); words are [^\\x20\\x09-\\x0D]+, by A-Z lower-cased."""
-    n = len(data)
-    if not n:
+    """(hash of each word, first word of each row and the end, start byte, end byte); words are [^\\x20\\x09-\\x0D]+, by A-Z lower-cased.
+
+    Worked through in pieces that end between words, so that a very long text needs no more than its own words and a piece's room.
+    """
+    n, at, parts = len(data), 0, []
+    while at < n:
+        to = min(at + SLICE_BYTES, n)
+        row_end = int(offs[np.searchsorted(offs, to)]) if to < n else n
+        while to < row_end:  # to the next white space, or to the row's end
+            gap = np.flatnonzero(SPACE_LUT[data[to : min(to + 4096, row_end)]])
+            if len(gap):
+                to += int(gap[0])
+                break
+            to = min(to + 4096, row_end)
+        inside = offs[np.searchsorted(offs, at, "right") : np.searchsorted(offs, to)]
+        h, s, e = _piece_hashes(data[at:to], inside - at, lower)
+        parts.append((h, s + at, e + at))
+        at = to
+    if not parts:
         return np.zeros(0, U), np.zeros(len(offs), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h, s, e = (np.concatenate([p[i] for p in parts]) for i in range(3)) if len(parts) > 1 else parts[0]
+    return h, np.searchsorted(s, offs), s, e
+
+
+def _piece_hashes(data: np.ndarray, cuts: np.ndarray, lower: bool):
+    """(hash, start, end) of the words of a piece, cut at `cuts` as well."""
     solid = ~SPACE_LUT[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
-    cuts = offs[(offs > 0) & (offs < n)]
     first[cuts] = solid[cuts]
     last = solid.copy()
     last[:-1] &= ~solid[1:]
     last[cuts - 1] = solid[cuts - 1]
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers(n)
+    up, down = powers(len(data))
     with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, U)
-        np.cumsum(((LOWER_LUT[data] if lower else data).astype(U) + U(1)) * up[:n], out=total[1:])
-        h = mix((total[e] - total[s]) * down[s] + (e - s).astype(U))
-    return h, np.searchsorted(s, offs), s, e
+        total = np.zeros(len(data) + 1, U)
+        np.cumsum(((LOWER_LUT[data] if lower else data).astype(U) + U(1)) * up[: len(data)], out=total[1:])
+        return mix((total[e] - total[s]) * down[s] + (e - s).astype(U)), s, e
 
 
 #: Odd multipliers, one for each place in a shingle.
@@ -158,32 +211,43 @@ def distinct_in_rows(x: np.ndarray, row_of: np.ndarray, n_rows: int):
     return (np.concatenate(parts) if parts else np.zeros(0, U)), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
-def row_key(text: str = "text", *ids: str):
-    """A long that stands for a row in shuffles: two seeds of xxhash64 are used where one may not do."""
-    return F.xxhash64(*[F.col(c) for c in ids], F.coalesce(F.col(text), F.lit("")))
-
-
 def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
 
-def ascii_class(chars: str) -> str:
-    return "[" + re.escape(chars) + "]"
+#: Bits for each key of a filter that is broadcast, its most bits, and its hashes; what passes it must be confirmed by a join.
+FILTER_BITS, MOST_BITS, HASHES = 16, 1 << 28, 3
+
+
+def bloom_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of hashes, as words of 64 bits; its words are made on the executors. It has MOST_BITS at most, so its size is bounded."""
+    size = min(MOST_BITS, 1 << max(16, (FILTER_BITS * keys.count()).bit_length()))
+    at = keys.select(F.explode(F.array(*[F.shiftrightunsigned(column, 18 * j + 1).bitwiseAND(F.lit(size - 1)) for j in range(HASHES)])).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether hashes may be among the filter's keys."""
+    ok = np.ones(len(h), bool)
+    for j in range(HASHES):
+        at = (h >> U(18 * j + 1)) & U(len(bits) * 64 - 1)
+        ok &= (bits[at >> U(6)] >> (at & U(63))) & U(1) > 0
+    return ok
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of lineage that materialize() has cut; it acts when the driver's JVM collects garbage."""
-    spark.sparkContext._jvm.System.gc()
+_memo: dict = {}
 
 
 def process_memo(name: str, make):
     """What make() gave at the first call in this Python worker; later tasks of the worker find it again."""
-    memo = builtins.__dict__.setdefault("_corpus_memo", {})
-    if name not in memo:
-        memo[name] = make()
-    return memo[name]
+    if name not in _memo:
+        _memo[name] = make()
+    return _memo[name]
 
 
 def drop_memos() -> None:
     """Free what earlier tasks of this Python worker kept, before work that needs room of its own."""
-    builtins.__dict__.pop("_corpus_memo", None)
+    _memo.clear()

@@ -1,19 +1,24 @@
 """Line dedup: levelled sorted runs of line hashes, compacted as they grow in number, and a merge anti-join that drops lines."""
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, release, scratch_dir
+from ..scratch import discard, scratch_dir
+from .common import as_struct, materialize, quoted, session_conf
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 #: Stands for a null doc_id: below every id that a document may have.
 NO_ID = -(1 << 63)
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Batches into which a table is dealt, and runs of one level that are compacted to one of the next.
-BATCHES, FAN_IN = 4, 2
+#: Batches into which a table is dealt at least, lines of a batch at most, and runs of one level that are compacted to one of the next.
+BATCHES, BATCH_LINES, FAN_IN = 4, 50_000_000, 2
+#: Let joins use that a bucket of one file is sorted; the tables' order and size change nothing else.
+SORTED_BUCKETS = {"spark__sql__legacy__bucketedTableScan__outputOrdering": "true", "spark__sql__sources__bucketing__autoBucketedScan__enabled": "false"}
 
 
 def key_of(line: bytes) -> bytes:
@@ -43,29 +48,40 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Runs of (a, b, n, top): a line's hash, the documents that hold it, the largest doc_id among them; each run is a table sorted by hash.
+    """Runs of (a, b, n, top): a line's hash, the documents that hold it, the largest doc_id among them.
 
-    ingest() merge-anti-joins a batch with the runs: lines that no run holds make a run of level 0, the others' counts are kept beside the
-    runs, so that each hash is in one run only. Where a level has fan_in runs, they are compacted to one of the next level, so that n
-    batches leave about log(n) runs. The documents of a batch must be in no other.
+    Each run is a table in buckets of the hash, each bucket one sorted file, so that a batch, once dealt and sorted, is merge-anti-joined
+    with all runs without a further shuffle or sort. ingest() anti-joins a batch with every run: lines that none holds make a run of level 0; the
+    others' counts are added beside the runs, so that each hash is in one run only. Where a level has fan_in runs, they are compacted
+    to one of the next level, so that n batches leave about log(n) runs. The documents of a batch must be in no other.
     """
 
     COLUMNS = "a long, b long, n long, top long"
 
-    def __init__(self, spark: SparkSession, path: str | None = None, fan_in: int = FAN_IN):
+    def __init__(self, spark: SparkSession, path: str | None = None, fan_in: int = FAN_IN, buckets: int | None = None):
         self.spark, self.path, self.fan_in, self.levels, self.again, self.made = spark, path or scratch_dir(spark), fan_in, [], [], 0
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = "tickloom_lines_" + uuid.uuid4().hex
+
+    def _write(self, rows: DataFrame) -> str:
+        """rows(a, b, n, top), dealt by hash already, as a bucketed table; its name."""
+        name, self.made = f"{self.name}_{self.made}", self.made + 1
+        with session_conf(self.spark, **SORTED_BUCKETS):
+            rows.write.bucketBy(self.buckets, "a", "b").sortBy("a", "b").option("path", f"{self.path}/{name}").format("parquet").saveAsTable(name)
+        return name
 
-    def _write(self, run: DataFrame) -> DataFrame:
-        """run(a, b, n, top, known) as a table that is sorted by hash in each part, the known lines apart from the new."""
-        at, self.made = f"{self.path}/run-{self.made}", self.made + 1
-        run.sortWithinPartitions("known", "a", "b").write.partitionBy("known").parquet(at)
-        return self.spark.read.schema(f"{self.COLUMNS}, known boolean").parquet(at)
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE {name}")
+            discard(self.spark, f"{self.path}/{name}")
 
-    def _union(self, tables: list) -> DataFrame:
-        both = self.spark.createDataFrame([], self.COLUMNS) if not tables else tables[0]
-        for t in tables[1:]:
-            both = both.unionByName(t)
-        return both
+    def _union(self, names: list) -> DataFrame:
+        """The rows of tables, read as plain files: Spark 4.1 takes a union of bucketed scans for bucketed, but does not align the buckets."""
+        both = self.spark.createDataFrame([], self.COLUMNS)
+        return self.spark.read.schema(self.COLUMNS).parquet(*[f"{self.path}/{n}" for n in names]) if names else both
+
+    def _merge(self, names: list) -> DataFrame:
+        return self._union(names).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
 
     def held(self) -> DataFrame:
         """(a, b, n, top) of each line, as counted in the batch that brought it first."""
@@ -73,44 +89,57 @@ class LineRuns:
 
     def merged(self) -> DataFrame:
         """(a, b, n, top) over all batches."""
-        return self._union([self.held(), *self.again]).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+        return self._merge([*(run for level in self.levels for run in level), *self.again])
 
     def ingest(self, lines: DataFrame) -> None:
         """Add a batch of lines (did, a, b)."""
-        own = lines.groupBy("a", "b").agg(F.countDistinct("did").alias("n"), F.max("did").alias("top"))
-        if self.made:  # the anti-join and what it leaves out, in one pass
-            own = own.join(self.held().select("a", "b", F.lit(True).alias("known")), ["a", "b"], "left").withColumn("known", F.col("known").isNotNull())
-        else:
-            own = own.withColumn("known", F.lit(False))
-        batch = self._write(own)
-        self.again.append(batch.where("known").drop("known"))
-        self._add(0, batch.where("not known").drop("known"))
-
-    def _add(self, level: int, run: DataFrame) -> None:
+        counted = lines.groupBy("a", "b").agg(F.countDistinct("did").alias("n"), F.max("did").alias("top"))
+        batch = self._write(counted.repartition(self.buckets, "a", "b"))
+        runs = [run for level in self.levels for run in level]
+        if runs:
+            new = self.spark.table(batch)
+            for run in runs:
+                new = new.join(self.spark.table(run).select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+            new = self._write(new)
+            self.again.append(self._write(self.spark.table(batch).join(self.spark.table(new).select("a", "b").hint("merge"), ["a", "b"], "left_anti")))
+            self._drop(batch)
+            batch = new
+        self._add(0, batch)
+
+    def _add(self, level: int, run: str) -> None:
         if len(self.levels) == level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fan_in:
             runs, self.levels[level] = self.levels[level], []
-            compact = self._write(self._union(runs).repartition("a", "b").withColumn("known", F.lit(False)))
-            self._add(level + 1, compact.where("not known").drop("known"))
+            compact = self._write(self._union(runs).repartition(self.buckets, "a", "b"))
+            self._drop(*runs)
+            self._add(level + 1, compact)
+
+    def close(self) -> None:
+        """Forget and delete all tables."""
+        self._drop(*(run for level in self.levels for run in level), *self.again)
+        self.levels, self.again = [], []
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, text: str = "text", batches: int = BATCHES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, text: str = "text", batch_lines: int = BATCH_LINES) -> DataFrame:
     """(rest, text, n_lines, n_dropped) for each row of docs; rest is a struct of its other columns, text what is left.
 
     Texts are split at \\n; a line's key is the line stripped of [\\x20\\x09-\\x0D] with A-Z lower-cased. A key of min_chars code points or
     more that min_docs documents or more hold loses all lines but those in the largest doc_id that holds it. Null or empty texts are one
-    empty line. Rows of one doc_id are one document; rows without an id are one together, below all others. Keys are compared by 128-bit hashes.
+    empty line; texts of any length are taken whole. Rows of one doc_id are one document, and repeated rows end alike; rows without an id
+    are one document together, below all others. Keys are compared by 128-bit hashes. Columns may have any names.
     """
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
-    keyed = docs.select(rest.alias("rest"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    spark = docs.sparkSession
+    t = F.coalesce(quoted(text), F.lit(""))
+    keyed = docs.select(as_struct(docs, (text,)).alias("rest"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), t.alias("text"), F.xxhash64(t).alias("th"))
     lines = materialize(line_hashes(keyed, min_chars))
-    runs = LineRuns(docs.sparkSession)
+    runs = LineRuns(spark)
+    batches = max(BATCHES, -(-lines.count() // batch_lines))
     for b in range(batches):
         runs.ingest(lines.where(F.pmod(F.xxhash64("did"), F.lit(batches)) == b).select("did", "a", "b"))
-    release(docs.sparkSession)
     common = materialize(runs.merged().where(F.col("n") >= min_docs).select("a", "b", "top"))
+    runs.close()
     dropped = lines.join(common, ["a", "b"]).where("did <> top").groupBy("did", "th").agg(F.collect_set("i").alias("drop"))
     joined = keyed.join(dropped, ["did", "th"], "left").select("rest", F.col("text").cast("binary").alias("text"), "drop")
 

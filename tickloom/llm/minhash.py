@@ -1,15 +1,19 @@
 """Near-duplicate documents: SuperMinHash signatures, banding, verification on full shingle sets, union by connected components."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACES, U, connected_components, distinct_in_rows, list_array, materialize, mix, shingle_hashes, text_slices, word_hashes
+from .common import PLACES, U, connected_components, distinct_in_rows, list_array, materialize, mix, quoted, shingle_hashes, text_slices, word_hashes
 
 #: 32 bands of 4 rows miss a pair of similarity 0.8 with probability 5e-8, and one of 0.85 with 6e-11.
 BANDS, ROWS = 32, 4
 FREE = np.iinfo(np.uint64).max
+#: Elements whose steps run together.
+PART = 1 << 19
 #: Members of a bucket, and shingles of them, that meet in one task with as many others; a larger bucket is dealt out in pairs of blocks.
 BLOCK, BLOCK_SHINGLES = 500, 400_000
 
@@ -18,8 +22,16 @@ def superminhash(elements: np.ndarray, row_of: np.ndarray, n_rows: int, m: int =
     """SuperMinHash (Ertl 2017) of each row's distinct elements, as n_rows x m numbers; FREE throughout for a row without elements.
 
     Each element visits the m places in an order of its own, at step i with the value i + r, r uniform in [0, 1). A place keeps
-    its least value, so a row is finished after the step that fills its last place. The steps of all rows of a batch run together.
+    its least value, so a row is finished after the step that fills its last place. The steps of all rows of a batch run together, in
+    parts of PART elements; a place's least value over the parts is the least over all.
     """
+    if len(elements) > PART:
+        sig = np.full((n_rows, m), FREE, U)
+        for a in range(0, len(elements), PART):
+            row = row_of[a : a + PART]
+            first, last = int(row[0]), int(row[-1]) + 1
+            np.minimum(sig[first:last], superminhash(elements[a : a + PART], row - first, last - first, m), out=sig[first:last])
+        return sig
     sig = np.full(n_rows * m, FREE, U)
     x, row, order, at0 = elements, row_of.astype(np.int64), None, None
     for i in range(m):
@@ -56,11 +68,11 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int):
 
 
 def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands) of each row of docs; set_a and set_b stand for the whole set, and are null for an empty one."""
+    """(doc_id, th, n_shingles, set_a, set_b, bands) of each row of docs; th is the text's hash, set_a and set_b stand for the whole set, and are null for an empty one."""
 
     def run(batches):
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(1)):
+            for i, j, data, offs in text_slices(batch.column(2)):
                 values, bounds = shingle_sets(data, offs, k)
                 n, sizes = j - i, np.diff(bounds)
                 row = np.repeat(np.arange(n), sizes)
@@ -74,10 +86,11 @@ def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
                 empty = sizes == 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, n), pa.array(sizes.astype(np.int64)), *(pa.array(s.astype(np.int64), mask=empty) for s in sums), lists], ["doc_id", "n_shingles", "set_a", "set_b", "bands"]
+                    [batch.column(0).slice(i, n), batch.column(1).slice(i, n), pa.array(sizes.astype(np.int64)), *(pa.array(s.astype(np.int64), mask=empty) for s in sums), lists], ["doc_id", "th", "n_shingles", "set_a", "set_b", "bands"]
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+    t = F.coalesce(quoted(text), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(t).alias("th"), t.alias("text")).mapInArrow(run, "doc_id long, th long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
 def text_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -93,27 +106,31 @@ def text_sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs.
+    """(doc_id, n_shingles, component_id, kept, th, component) for each row of docs.
 
     Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, sets hold distinct k-word shingles, and two documents are linked
-    with 100 * intersection >= percent * union. A null or empty text has an empty set and links with nothing. Rows of one doc_id
-    count as copies of it only if their sets are equal; rows without a doc_id are their own component, null. Extra columns are ignored.
-
-    Documents with equal sets form a class with one representative. Representatives meet in the buckets of their bands. First
-    each is held against the pivot of each of its buckets, the member that shares buckets with the most others; the links
-    found are joined to components. Then members of different components that share a bucket are compared on their full sets.
+    with 100 * intersection >= percent * union. component_id is the smallest doc_id that is reached. A null or empty text has an empty
+    set and links with nothing. Rows of one doc_id count as copies of it only if their sets are equal; rows without a doc_id link with
+    nothing, and their component_id is null. Texts of any length are taken whole; extra columns are ignored. For those who drop rows: th
+    is the text's hash, and component tells components apart even where doc_ids repeat; it is null where nothing could be linked.
+
+    Documents with equal sets (by 128-bit sums of hashes) form a class with one representative. Representatives meet in the buckets of
+    their bands. First each is held against the pivot of each of its buckets, the member that shares buckets with the most others; the
+    links found are joined to components. Then members outside a bucket's largest component are compared with its other members.
     """
     sig = materialize(signatures(docs, k, text))
     known = sig.where("doc_id is not null and n_shingles > 0")
-    classes = materialize(known.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")).select("rep", "n_shingles", "bands", "set_a", "set_b"))
-    # A doc_id may occur with several sets: a class is known by its set.
-    classes = classes.withColumn("cid", F.xxhash64("set_a", "set_b"))
+    classes = known.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.first("bands").alias("bands"))
+    # A class has a number of its own, as a doc_id may occur with several sets; it is fixed when the table is written.
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), F.col("r.doc_id").alias("rep"), F.col("r.th").alias("th"), "n_shingles", "bands", "set_a", "set_b"))
     labels = class_components(docs, classes, k, percent, text)
     comp = classes.join(labels, F.col("cid") == F.col("node"), "left").select("set_a", "set_b", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    by_set = comp.join(least, "comp").select("set_a", "set_b", "component_id")
-    per_doc = sig.join(by_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return per_doc.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+    by_set = comp.join(least, "comp").select("set_a", "set_b", "component_id", F.col("comp").alias("component"))
+    per_doc = sig.where("doc_id is not null").join(by_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "th", "component")
+    nameless = sig.where("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "th", F.lit(None).cast("long").alias("component"))
+    both = per_doc.unionByName(nameless)
+    return both.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "th", "component")
 
 
 def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int, text: str) -> DataFrame:
@@ -123,19 +140,14 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int,
     shared = materialize(rows.join(full, "bucket"))
     reach = shared.groupBy("cid").agg(F.sum("size").alias("reach"))
     met = shared.join(reach, "cid")
-    pivots = met.groupBy("bucket").agg(F.max_by(F.struct("cid", "n"), F.struct("reach", "cid")).alias("p"))
+    pivots = materialize(met.groupBy("bucket").agg(F.max_by(F.struct("cid", "n"), F.struct("reach", "cid")).alias("p")))
     close = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     pairs = shared.join(pivots, "bucket").select("cid", "n", F.col("p.cid").alias("other"), F.col("p.n").alias("m")).where(f"cid <> other and {close}").select("cid", "other").distinct()
-    members = materialize(shared.select("cid").distinct())
-    doc_sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chosen = classes.join(members, "cid", "left_semi").select(F.col("cid"), F.col("rep").alias("doc_id"), "n_shingles", "set_a")
-    sets = materialize(
-        text_sets(doc_sets.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text"), k)
-        .join(chosen, F.col("id") == F.col("doc_id"))
-        .where(F.size("shingles") == F.col("n_shingles"))
-        .select("cid", "shingles")
-        .dropDuplicates(["cid"])
-    )
+    members = shared.select("cid").distinct()
+    chosen = classes.join(members, "cid", "left_semi").select("cid", F.col("rep").alias("doc_id"), "th")
+    t = F.coalesce(quoted(text), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(t).alias("th"), t.alias("text"))
+    sets = materialize(text_sets(texts.join(chosen, ["doc_id", "th"]).select(F.col("cid").alias("id"), "text"), k).select(F.col("id").alias("cid"), "shingles").dropDuplicates(["cid"]))
     links = materialize(verified(pairs, sets, percent))
     labels = materialize(connected_components(links))
     more = materialize(across(shared, labels, sets, percent))
@@ -152,22 +164,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def across(shared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(src, dst): a forest of the links between members of one bucket that lie in different components, verified on full sets.
 
-    Buckets are dealt out in pairs of blocks of bounded size, so that no task holds a large bucket, and pairs are counted inside a task.
+    Of two members of different components, one lies outside the bucket's largest: only those seek, and only among members whose set
+    size allows a link, which lie in their own class of sizes or a neighbouring one. Seekers and the others are dealt out in blocks of
+    bounded size, so that no task holds a large bucket, and pairs are counted inside a task.
     """
-    labelled = shared.join(labels, F.col("cid") == F.col("node"), "left").select("bucket", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
-    mixed = labelled.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = labelled.join(mixed.select("bucket", blocks.alias("blocks")), "bucket").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
-    dealt = dealt.select("bucket", "cid", "comp", "own", F.explode(meets).alias("p")).select("bucket", "p.i", "p.j", "own", "cid", "comp")
-    full = dealt.join(sets, "cid").select("bucket", "i", "j", "own", "cid", "comp", "shingles")
-    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(block_links(percent), "src long, dst long").distinct()
+    step = math.log(100 / percent) if percent < 100 else 1.0
+    labelled = materialize(shared.join(labels, F.col("cid") == F.col("node"), "left").select("bucket", "cid", "n", F.coalesce("comp", "cid").alias("comp"), F.floor(F.log("n") / step).cast("int").alias("level")))
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    top = parts.groupBy("bucket").agg(F.max_by("comp", F.struct("size", "comp")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "top")
+    seekers = labelled.join(materialize(top), "bucket").where("comp <> top").drop("top")
+    seekers = materialize(seekers.select("bucket", "cid", "n", "comp", F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level")))
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        n = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+        return rows.groupBy("bucket", "level").agg(n.alias(name))
+
+    sought = blocks(seekers, "rows")
+    found = labelled.join(sought.select("bucket", "level"), ["bucket", "level"], "left_semi")
+    sizes = materialize(sought.join(blocks(found, "cols"), ["bucket", "level"]))
+
+    def deal(rows: DataFrame, own: str, other: str, is_seeker: bool) -> DataFrame:
+        at = F.pmod(F.xxhash64("cid"), F.col(own)).cast("int")
+        dealt = rows.join(sizes, ["bucket", "level"]).select("bucket", "level", at.alias(f"{own}_at"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{other}_at"), F.lit(is_seeker).alias("seeks"), "cid", "comp")
+        return dealt.select("bucket", "level", F.col("rows_at").alias("i"), F.col("cols_at").alias("j"), "seeks", "cid", "comp")
+
+    dealt = deal(seekers, "rows", "cols", True).unionByName(deal(labelled, "cols", "rows", False))
+    full = dealt.join(sets, "cid").select("bucket", "level", "i", "j", "seeks", "cid", "comp", "shingles")
+    keys = ["bucket", "level", "i", "j"]
+    return full.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(block_links(percent), "src long, dst long").distinct()
 
 
 def block_links(percent: int):
-    """Links of one (bucket, i, j) that join members of different components, each only where they are not joined yet."""
+    """Links of one block between seekers and the others of different components, each only where they are not joined yet."""
 
-    def of_group(i, j, own, cid, comp, sets):
+    def of_group(seeks, cid, comp, sets):
         m, sizes = len(cid), np.array([len(x) for x in sets])
         row = np.repeat(np.arange(m), sizes)
         _, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -175,16 +205,14 @@ def block_links(percent: int):
         begin, first = np.cumsum(counts) - counts, np.cumsum(sizes) - sizes
         _, root = np.unique(comp, return_inverse=True)
         out = []
-        for x in range(m):
+        for x in np.flatnonzero(seeks):
             if (root == root[0]).all():
                 break
             own_at = at[first[x] : first[x] + sizes[x]]
             n = counts[own_at]
             held = members[np.repeat(begin[own_at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             both = np.bincount(held, minlength=m)
-            linked = (100 * both >= percent * (sizes[x] + sizes - both)) & (root != root[x])
-            if i != j:
-                linked &= own != own[x]
+            linked = (100 * both >= percent * (sizes[x] + sizes - both)) & (root != root[x]) & ~seeks
             for y in np.flatnonzero(linked):
                 if root[y] != root[x]:
                     root[root == root[y]] = root[x]
@@ -196,22 +224,24 @@ def block_links(percent: int):
 
         def flush():
             if held:
-                links = of_group(key[1], key[2], *(np.concatenate([h[c] for h in held]) for c in range(3)), [x for h in held for x in h[3]])
+                links = of_group(*(np.concatenate([h[c] for h in held]) for c in range(3)), [x for h in held for x in h[3]])
                 held.clear()
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["src", "dst"])
 
         for batch in batches:
-            bucket, i, j, own, cid, comp = (batch.column(c).to_numpy() for c in range(6))
-            sets = [x.values.to_numpy() for x in batch.column(6)]
-            new = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            for s, e in zip([0, *new], [*new, len(bucket)], strict=True):
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(4)])
+            seeks = batch.column(4).to_numpy(zero_copy_only=False)
+            cid, comp = (batch.column(c).to_numpy() for c in (5, 6))
+            sets = [x.values.to_numpy() for x in batch.column(7)]
+            new = np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1
+            for s, e in zip([0, *new], [*new, len(cid)], strict=True):
                 if s == e:
                     continue
-                if key != (bucket[s], i[s], j[s]):
+                if key != tuple(keys[:, s]):
                     yield from flush()
-                    key = (bucket[s], i[s], j[s])
-                held.append((own[s:e], cid[s:e], comp[s:e], sets[s:e]))
+                    key = tuple(keys[:, s])
+                held.append((seeks[s:e], cid[s:e], comp[s:e], sets[s:e]))
         yield from flush()
 
     return run

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, process_memo
+from .common import materialize, process_memo, quoted
 
 SIZE, END = 1024, 2
 #: Pieces kept in a worker's memo, and the longest that is kept.
@@ -110,7 +110,7 @@ def token_pieces(docs: DataFrame, path: str, size: int, end: int, payload, text:
             if rows:
                 yield flush(rows)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), quoted(text).alias("text")).mapInArrow(run, schema)
 
 
 def plan(counts: dict, size: int) -> list:

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_slices, word_hashes
+from .common import LOWER_LUT, PLACES, U, as_struct, bloom_filter, field, materialize, may_hold, mix, quoted, text_slices, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -17,15 +17,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-#: Unless told otherwise: words on each side of a protected value that are looked at, and documents that must hold both.
-NEAR, SUPPORT = 4, 3
-#: The whole job, for the registered queries: all words of a value's documents, and one document is enough, as a term that is found with
-#: a single document's value leads to that document.
-WHOLE = {"near": None, "support": 1}
-#: Share of a value's information that a term gives away, from which the term is generalised, and from which it is removed.
-GENERALISE, REMOVE = 0.9, 0.999
-#: Bits for each disclosing term in the filter that is broadcast, its most bits, and its hashes; what passes it is joined exactly.
-FILTER_BITS, MOST_BITS, HASHES = 16, 1 << 28, 3
+#: Share of a protected value's information from which on a term discloses it.
+DISCLOSES = 0.9
+#: Kinds of terms, the coarser level of generalisation; the finer one has the first character as well.
+CLASSES = ("WORD", "NAME", "CODE")
 #: Terms that more than this share of the documents hold are looked up by a broadcast, so that no task gets all rows of one of them.
 COMMON = 0.01
 LETTER_LUT = np.zeros(256, bool)
@@ -65,7 +60,10 @@ def base_spans(t: str) -> list:
 
 
 def free_words(data: np.ndarray, offs: np.ndarray, spans: list):
-    """(hash, row, start, end, start byte, end byte) of the words that overlap none of their row's spans; start and end in code points."""
+    """(hash, row, start, end, start byte, end byte) of the words that overlap none of their row's spans; start and end in code points.
+
+    A word's hash is even; those of its generalisations are odd.
+    """
     h, rows, at, to = word_hashes(data, offs)
     row = np.repeat(np.arange(len(offs) - 1), np.diff(rows))
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -77,7 +75,20 @@ def free_words(data: np.ndarray, offs: np.ndarray, spans: list):
     reach = np.concatenate([[0], np.maximum.accumulate(ends)])[np.searchsorted(starts, e)]
     ok = np.flatnonzero(reach <= s)
     row, s, e = row[ok], s[ok], e[ok]
-    return h[ok], row, s - first[row], e - first[row], at[ok], to[ok]
+    return h[ok] & ~U(1), row, s - first[row], e - first[row], at[ok], to[ok]
+
+
+def levels(data: np.ndarray, at: np.ndarray, to: np.ndarray):
+    """(class, hash of class and first character, hash of the class) of words: a code has a digit, a name starts with a capital A-Z."""
+    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57), dtype=np.int32)])
+    lead = data[at]
+    kind = np.where(digits[to] > digits[at], 2, np.where((lead >= 65) & (lead <= 90), 1, 0)).astype(U)
+    first = LOWER_LUT[lead].astype(U)
+    for k in range(1, 4):  # the other bytes of the first character
+        more = lead >= (0, 0xC0, 0xE0, 0xF0)[k]
+        first[more] = first[more] << U(8) | data[at[more] + k].astype(U)
+    with np.errstate(over="ignore"):
+        return kind.astype(np.int64), mix(kind * PLACES[20] + first * PLACES[21]) | U(1), mix(kind * PLACES[22] + U(7)) | U(1)
 
 
 def is_term(data: np.ndarray, s, e, at, to) -> np.ndarray:
@@ -89,33 +100,44 @@ def is_term(data: np.ndarray, s, e, at, to) -> np.ndarray:
     return ok & (e - s >= 3)
 
 
+def row_terms(data: np.ndarray, offs: np.ndarray, spans: list):
+    """(term, row) of the terms of each row and of their generalisations, each once."""
+    h, row, s, e, at, to = free_words(data, offs, spans)
+    ok = is_term(data, s, e, at, to)
+    h, row, at, to = h[ok], row[ok], at[ok], to[ok]
+    _, fine, coarse = levels(data, at, to)
+    terms, rows = np.concatenate([h, fine, coarse]), np.tile(row, 3)
+    order = np.lexsort((terms, rows))
+    terms, rows = terms[order], rows[order]
+    first = np.concatenate([[True], (terms[1:] != terms[:-1]) | (rows[1:] != rows[:-1])]) if len(terms) else np.zeros(0, bool)
+    return terms[first], rows[first]
+
+
 def keyed_texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("did"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    t = F.coalesce(quoted(text), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("did"), F.xxhash64(t).alias("th"), t.alias("text"))
+
+
+def texts_and_spans(col: pa.Array):
+    for i, j, data, offs in text_slices(col):
+        yield i, j, data, offs, [base_spans(t) for t in col.slice(i, j - i).to_pylist()]
 
 
-def scan(docs: DataFrame, text: str, near: int | None) -> DataFrame:
+def scan(docs: DataFrame, text: str) -> DataFrame:
     """(did, th, rid, base, values, terms) of each row: the text's hash, a number of its own, base spans, and the distinct hashes of protected
-    values and of the terms of a row that has any, or of those that stand within `near` words of one."""
+    values and, of a row that has any, of its terms and their generalisations."""
     span = pa.struct([("kind", pa.int32()), ("s", pa.int64()), ("e", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(3)):
-                texts = batch.column(3).slice(i, j - i).to_pylist()
-                spans = [base_spans(t) for t in texts]
-                values = [list({xxhash.xxh3_64_intdigest(f"{k}:{t[s:e]}") - (1 << 63) for k, s, e in x}) for t, x in zip(texts, spans, strict=True)]
-                terms = [[] for _ in texts]
+            for i, j, data, offs, spans in texts_and_spans(batch.column(3)):
+                texts = batch.column(3).slice(i, j - i)
+                values, terms = [[] for _ in spans], [[] for _ in spans]
                 for r in (r for r, x in enumerate(spans) if x):
+                    t = texts[r].as_py()
+                    values[r] = list({xxhash.xxh3_64_intdigest(f"{k}:{t[s:e]}") - (1 << 63) for k, s, e in spans[r]})
                     own = data[offs[r] : offs[r + 1]]
-                    h, _, s, e, at, to = free_words(own, np.array([0, len(own)]), [spans[r]])
-                    ok = is_term(own, s, e, at, to)
-                    if near is not None:
-                        beside = np.zeros(len(h), bool)
-                        for _, x, y in spans[r]:
-                            before, after = np.searchsorted(e, x, "right"), np.searchsorted(s, y)
-                            beside[max(0, before - near) : before] = beside[after : after + near] = True
-                        ok &= beside
-                    terms[r] = np.unique(h[ok]).view(np.int64)
+                    terms[r] = row_terms(own, np.array([0, len(own)]), [spans[r]])[0].view(np.int64)
                 base = pa.array([[{"kind": k, "s": s, "e": e} for k, s, e in x] for x in spans], pa.list_(span))
                 some = [*(batch.column(c).slice(i, j - i) for c in range(3)), base, pa.array(values, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(some, ["did", "th", "rid", "base", "values", "terms"])
@@ -125,96 +147,83 @@ def scan(docs: DataFrame, text: str, near: int | None) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
-    """(did, th, term, s, e): where words that pass the filter stand in each row, outside its base spans."""
-    held, size = docs.sparkSession.sparkContext.broadcast(bits), len(bits) * 64
-
-    def passes(h):
-        ok = np.ones(len(h), bool)
-        for j in range(HASHES):
-            at = (h >> np.uint64(18 * j)) & np.uint64(size - 1)
-            ok &= (held.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-        return ok
+    """(did, th, term, fine, coarse, kind, s, e): where words that pass the filter stand in each row, outside its base spans, with their generalisations."""
+    held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         for batch in batches:
             for i, j, data, offs in text_slices(batch.column(2)):
                 h, rows, _, _ = word_hashes(data, offs)
-                hit = np.unique(np.repeat(np.arange(j - i), np.diff(rows))[passes(h)])
+                hit = np.unique(np.repeat(np.arange(j - i), np.diff(rows))[may_hold(held.value, h)])
                 spans = [[] for _ in range(j - i)]
                 for r in hit:
                     spans[r] = base_spans(batch.column(2)[i + int(r)].as_py())
                 if len(hit):
-                    h, row, s, e, _, _ = free_words(data, offs, spans)
-                    ok = passes(h)
+                    h, row, s, e, at, to = free_words(data, offs, spans)
+                    ok = np.flatnonzero(may_hold(held.value, h))
+                    ok = ok[is_term(data, s[ok], e[ok], at[ok], to[ok])]
+                    kind, fine, coarse = levels(data, at[ok], to[ok])
                     of_row = [batch.column(c).take(pa.array(i + row[ok])) for c in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*of_row, pa.array(h[ok].view(np.int64)), pa.array(s[ok]), pa.array(e[ok])], ["did", "th", "term", "s", "e"])
-
-    return keyed_texts(docs, text).mapInArrow(run, "did long, th long, term long, s long, e long")
+                    own = (x.view(np.int64) for x in (h[ok], fine, coarse, kind, s[ok], e[ok]))
+                    yield pa.RecordBatch.from_arrays([*of_row, *map(pa.array, own)], ["did", "th", "term", "fine", "coarse", "kind", "s", "e"])
 
-
-def term_filter(terms: DataFrame) -> np.ndarray:
-    """A Bloom filter of the terms, as words of 64 bits; its words are made on the executors."""
-    size = min(MOST_BITS, 1 << max(16, (FILTER_BITS * terms.count()).bit_length()))
-    at = terms.select(F.explode(F.array(*[F.shiftrightunsigned("term", 18 * j).bitwiseAND(F.lit(size - 1)) for j in range(HASHES)])).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
-    out = np.zeros(size // 64, np.uint64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return out
+    return keyed_texts(docs, text).mapInArrow(run, "did long, th long, term long, fine long, coarse long, kind long, s long, e long")
 
 
 def term_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(term, n): documents that hold each word, over all documents."""
+    """(term, n): rows that hold each term or generalisation outside base spans, over all rows."""
 
     def run(batches):
         for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
-                h, rows, _, _ = word_hashes(data, offs)
-                row = np.repeat(np.arange(len(rows) - 1), np.diff(rows)).astype(np.uint64)
-                order = np.lexsort((row, h)) if len(h) else np.zeros(0, np.int64)
-                h, row = h[order], row[order]
-                first = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]) if len(h) else np.zeros(0, bool)
-                terms, n = np.unique(h[first], return_counts=True)
+            for _, _, data, offs, spans in texts_and_spans(batch.column(0)):
+                terms, n = np.unique(row_terms(data, offs, spans)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "n"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return docs.select(F.coalesce(quoted(text), F.lit("")).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing(rows: DataFrame, counts: DataFrame, n_docs: int, support: int, generalise: float, remove: float) -> DataFrame:
-    """(term, removed): the terms whose pointwise mutual information with a value is `generalise` of the value's information or more.
+def disclosing(rows: DataFrame, counts: DataFrame, n_docs: int, discloses: float) -> DataFrame:
+    """(term): the terms and generalisations whose pointwise mutual information with a value is `discloses` of the value's information or more.
 
-    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value), all over documents: a term counts wherever it
-    stands in a document that holds the value. Values of the same documents count once. As p(value, term) <= p(value), only terms with
-    p(term) <= p(value) ** generalise can pass, so others go before they are paired.
+    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value), all over the same rows: a term counts
+    wherever it stands outside base spans in a row that holds the value. Values of the same rows count once. As p(value, term) <= p(value),
+    only terms with p(term) <= p(value) ** discloses can pass, so others go before they are paired.
     """
     held = rows.select("rid", F.explode("values").alias("value"))
     own = held.groupBy("value").agg(F.count("*").alias("v"), F.sum(F.xxhash64("rid").cast("decimal(20,0)")).alias("docs"))
     own = own.select("value", "v", F.xxhash64("v", "docs").alias("cls"))
     held = materialize(held.join(own, "value").where(F.col("v") < n_docs).select("rid", "cls", "v").distinct())
-    most = held.groupBy("rid").agg((F.pow(F.max("v") / n_docs, F.lit(generalise)) * n_docs * (1 + 1e-9)).alias("limit"))
+    most = held.groupBy("rid").agg((F.pow(F.max("v") / n_docs, F.lit(discloses)) * n_docs * (1 + 1e-9)).alias("limit"))
     terms = rows.where("size(terms) > 0").select("rid", "terms").join(most, "rid").select("rid", "limit", F.explode("terms").alias("term"))
     is_common = F.col("n") > COMMON * n_docs
     terms = terms.join(F.broadcast(counts.where(is_common)), "term", "left").where("n is null or n <= limit")
     rare = terms.where("n is null").drop("n").join(counts.where(~is_common), "term").where("n <= limit")
     both = rare.select("rid", "term", "n").union(terms.where("n is not null").select("rid", "term", "n")).join(held, "rid")
-    both = both.groupBy("cls", "term").agg(F.count("*").alias("c"), F.first("v").alias("v"), F.first("n").alias("n")).where(F.col("c") >= support)
+    both = both.groupBy("cls", "term").agg(F.count("*").alias("c"), F.first("v").alias("v"), F.first("n").alias("n"))
     share = (F.log(F.col("c") * n_docs) - F.log("v") - F.log("n")) / F.greatest(F.log(F.lit(n_docs) / F.col("v")), F.lit(1e-9))
-    return both.select("term", share.alias("share")).where(F.col("share") >= generalise).groupBy("term").agg((F.max("share") >= remove).alias("removed"))
+    return both.where(share >= discloses - 1e-12).select("term").distinct()
 
 
-def personal_spans(docs: DataFrame, text: str = "text", near: int | None = NEAR, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(did, th, base, more) for each row of docs: doc_id, the text's hash, base spans, and every occurrence of a disclosing term as spans.
+def personal_spans(docs: DataFrame, text: str = "text", discloses: float = DISCLOSES) -> DataFrame:
+    """(did, th, base, more) for each row of docs: doc_id, the text's hash, base spans, and every occurrence of a disclosing term.
 
-    Null texts are empty and have no spans. Repeated rows get the same spans; rows without an id are told apart by their texts. A table
-    without personal data, or without rows, gives none. Other columns are ignored. Without `near`, all terms of a value's documents count.
+    more has (s, e, level, kind): at level 1 the term's class (CLASSES[kind]) and first character together disclose nothing, at level 2
+    its class, at level 3 neither can be told. Null texts are empty and have no spans; texts of any length are taken whole. Repeated rows
+    count apart and get the same spans; rows without an id are told apart by their texts. A table without personal data, or without
+    rows, gives none; a value that all rows hold discloses and is disclosed by nothing. Other columns are ignored.
     """
-    rows = materialize(scan(docs, text, near))
+    rows = materialize(scan(docs, text))
     counts = materialize(term_counts(docs, text))
-    risky = materialize(disclosing(rows, counts, rows.count(), support, generalise, remove))
-    found = occurrences(docs, text, term_filter(risky)).join(risky, "term")
-    hit = found.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("s", "e", "removed"))).alias("more"))
+    risky = materialize(disclosing(rows, counts, rows.count(), discloses))
+    words, general = risky.where("term % 2 = 0"), risky.where("term % 2 <> 0")  # as many generalisations as classes and first characters
+    found = occurrences(docs, text, bloom_filter(words, "term")).join(words, "term")
+    for name in ("fine", "coarse"):
+        found = found.join(F.broadcast(general.select(F.col("term").alias(name), F.lit(True).alias(f"{name}_tells"))), name, "left")
+    level = F.when(F.col("fine_tells").isNull(), 1).when(F.col("coarse_tells").isNull(), 2).otherwise(3)
+    hit = found.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("s", "e", level.alias("level"), F.col("kind").cast("int").alias("kind")))).alias("more"))
     hit = hit.select(F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("no_id"), "th", "more")
     keyed = rows.select("did", "th", "base", F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("no_id"))
-    return keyed.join(hit, ["d", "no_id", "th"], "left").select("did", "th", "base", F.coalesce("more", F.array().cast("array<struct<s:long,e:long,removed:boolean>>")).alias("more"))
+    return keyed.join(hit, ["d", "no_id", "th"], "left").select("did", "th", "base", F.coalesce("more", F.array().cast("array<struct<s:long,e:long,level:int,kind:int>>")).alias("more"))
 
 
 def span_text(name, s, e):
@@ -230,14 +239,20 @@ def span_columns(found: DataFrame) -> DataFrame:
     return found.select(F.col("did").alias("doc_id"), *counts, F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, more), ",").alias("spans"))
 
 
-def sanitise(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
-    """docs with personal data replaced in text: base spans by [EMAIL], [IP], [CARD], [PHONE]; disclosing terms by [TERM], or removed where
-    they give away nearly all. All other columns stay; a null text stays null."""
-    found = personal_spans(docs, text, **settings).where("size(base) > 0 or size(more) > 0").select("did", "th", "base", "more").dropDuplicates(["did", "th"])
-    found = found.select(F.coalesce("did", F.lit(-1)).alias("_d"), F.col("did").isNull().alias("_n"), F.col("th").alias("_h"), "base", "more")
+def generalised(term: str, level: int, kind: int) -> str:
+    """What stands for a term: its class and first character, its class, or nothing."""
+    return (f"[{CLASSES[kind]} {term[0].upper()}]", f"[{CLASSES[kind]}]", "")[level - 1]
+
+
+def sanitise(docs: DataFrame, text: str = "text", discloses: float = DISCLOSES) -> DataFrame:
+    """docs with personal data replaced in text: base spans by [EMAIL], [IP], [CARD], [PHONE]; a disclosing term by the least general form
+    that discloses nothing, such as [NAME Z] or [NAME], and by nothing where there is none. All other columns stay, whatever their names;
+    a null text stays null; repeated rows end alike."""
+    found = personal_spans(docs, text, discloses).where("size(base) > 0 or size(more) > 0").select("did", "th", "base", "more").dropDuplicates(["did", "th"])
+    found = found.select(F.coalesce("did", F.lit(-1)).alias("d"), F.col("did").isNull().alias("n"), F.col("th").alias("h"), "base", "more")
     d = F.col("doc_id").cast("long")
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(d, F.lit(-1)).alias("_d"), d.isNull().alias("_n"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"))
-    joined = keyed.join(found, ["_d", "_n", "_h"], "left").select("row", F.col(f"row.{text}").alias("t"), "base", "more")
+    keyed = docs.select(as_struct(docs, (text,)).alias("row"), quoted(text).alias("t"), F.coalesce(d, F.lit(-1)).alias("d"), d.isNull().alias("n"), F.xxhash64(F.coalesce(quoted(text), F.lit(""))).alias("h"))
+    joined = keyed.join(found, ["d", "n", "h"], "left").select("row", "t", "base", "more")
 
     def run(batches):
         for batch in batches:
@@ -245,7 +260,7 @@ def sanitise(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
             for value, base, more in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
                 t = value.as_py()
                 cuts = [(x["s"], x["e"], f"[{KINDS[x['kind']].upper()}]") for x in base.as_py()] if base.is_valid else []
-                cuts += [(x["s"], x["e"], "" if x["removed"] else "[TERM]") for x in more.as_py()] if more.is_valid else []
+                cuts += [(x["s"], x["e"], generalised(t[x["s"]], x["level"], x["kind"])) for x in more.as_py()] if more.is_valid else []
                 if cuts:
                     parts, end = [], 0
                     for s, e, mark in sorted(cuts):
@@ -257,5 +272,4 @@ def sanitise(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "clean"])
 
     schema = joined.select("row").schema.add("clean", "string")
-    clean = joined.mapInArrow(run, schema)
-    return clean.select(*[F.col("clean").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return joined.mapInArrow(run, schema).select(*[(F.col("clean") if c == text else field("row", c)).alias(c) for c in docs.columns])

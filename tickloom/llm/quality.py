@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import PLACES, U, drop_memos, mix, text_slices, word_hashes
+from .common import PLACES, U, as_struct, drop_memos, field, mix, quoted, text_slices, word_hashes
 
 BITS = 18
 #: At most about so many labelled rows are learnt from, in so many shards that are trained apart and averaged.
-SAMPLE, SHARDS, EPOCHS = 8_000, 8, 6
+SAMPLE, SHARDS, EPOCHS = 16_000, 8, 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.05
 #: Fewer rows than this for each shard are trained in fewer shards.
 SHARD_ROWS = 1000
@@ -34,10 +34,13 @@ def features(data: np.ndarray, offs: np.ndarray):
         return np.zeros(0, np.int64), row
     # A shape is the set of classes of its bytes and its length up to 12, so unseen words of one kind are alike.
     classes = SHAPES[data]
-    signs = ((classes != 97) & (classes != 65) & (classes != 48)).astype(np.int64)
-    sums = [np.concatenate([[0], np.cumsum(x)]) for x in (classes == 97, classes == 65, classes == 48, signs)]
-    low, up, digit, sign = (x[e] - x[s] for x in sums)
-    last = data[e - 1].astype(U) * (classes[e - 1] == data[e - 1]) * (signs[e - 1] > 0)
+    ends = np.minimum(np.column_stack([s, e]).ravel(), len(data) - 1)
+    inside = [np.add.reduceat((classes == c).astype(np.int32), ends)[::2] for c in (97, 65, 48)]
+    if e[-1] == len(data):  # the last word's own end cannot be named
+        inside = [np.append(x[:-1], np.count_nonzero(classes[s[-1] :] == c)) for x, c in zip(inside, (97, 65, 48), strict=True)]
+    low, up, digit = inside
+    sign = e - s - low - up - digit
+    last = data[e - 1].astype(U) * ~np.isin(classes[e - 1], (97, 65, 48))
     kind = np.minimum(low, 1) + 2 * np.minimum(up, 2) + 8 * np.minimum(digit, 3) + 32 * np.minimum(sign, 3)
     with np.errstate(over="ignore"):
         shape = mix(kind.astype(U) * PLACES[5] + last * PLACES[6] + np.minimum(e - s, 12).astype(U))
@@ -85,8 +88,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     """Weights learnt from about `sample` labelled rows at most, none held out; None if there are none.
 
     The rows are those of least hash of doc_id. Each of SHARDS tasks runs FTRL over its rows in a fixed order; the weights are averaged.
+    Labels other than 0 and 1 and rows without a doc_id are not learnt from; null texts are empty; of repeated rows and rows of one
+    doc_id each is learnt from with each of its labels; texts of any length are taken whole.
     """
-    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    usable = labels.where(quoted(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), quoted(label).cast("int").alias("y"))
     many = usable.count()
     if not many:
         return None
@@ -94,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     shards = max(1, min(SHARDS, min(many, sample) // SHARD_ROWS))
     hashed = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
     chosen = usable.where(hashed < keep).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(hashed < keep).join(chosen, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(quoted(text), F.lit("")).alias("text")).where(hashed < keep).join(chosen, "doc_id")
 
     def fit(batches):
         drop_memos()
@@ -121,10 +126,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     return total / max(count, 1)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None, text: str = "text") -> DataFrame:
-    """docs with score, the probability of label 1: 0.5 for empty or null texts, and throughout if nothing was learnt."""
+def score(docs: DataFrame, weights: np.ndarray | None, text: str = "text", into: str = "score") -> DataFrame:
+    """docs with one more column, the probability of label 1: 0.5 for empty or null texts, and throughout if nothing was learnt.
+
+    Each row is scored by its whole text alone, so repeated rows score alike, and null ids and other columns make no difference. The
+    name of the column must be a new one.
+    """
+    if into in docs.columns:
+        raise ValueError(f"docs has a column {into} of its own: name another")
     sent = docs.sparkSession.sparkContext.broadcast(weights)
-    others = [c for c in docs.columns if c not in (text, "score")]
 
     def run(batches):
         drop_memos()
@@ -139,6 +149,6 @@ def score(docs: DataFrame, weights: np.ndarray | None, text: str = "text") -> Da
                     out = 1 / (1 + np.exp(-(dots[bounds[1:]] - dots[bounds[:-1]])))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(out)], ["rest", "t", "score"])
 
-    packed = docs.select(F.struct(*([F.col(c) for c in others] or [F.lit(1).alias("_")])).alias("rest"), F.col(text).alias("t"))
+    packed = docs.select(as_struct(docs, (text,)).alias("rest"), quoted(text).alias("t"))
     scored = packed.mapInArrow(run, StructType([*packed.schema.fields, StructField("score", DoubleType())]))
-    return scored.select(*[F.col("t").alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c != "score"], "score")
+    return scored.select(*[(F.col("t") if c == text else field("rest", c)).alias(c) for c in docs.columns], F.col("score").alias(into))

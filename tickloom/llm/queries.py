@@ -2,6 +2,7 @@
 
 from hashlib import sha256
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked at a similarity of 0.85 on 3-word shingles."""
-    return minhash.near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+    return minhash.near_duplicates(documents(spark, sf_dir), k=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP1_SQL = r"""
@@ -93,20 +94,19 @@ def _words(name: str, col: str) -> str:
     return f"regexp_extract_all(translate(coalesce({col}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS {name}"
 
 
-_SHINGLES = "unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g"
-_VALUES = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.TEMPLATES.items())
+_LENGTHS = licenses.by_length(licenses.TEMPLATES)
+_VALUES = ", ".join(f"('{n}', {k}, '" + t.replace("'", "''") + "')" for k, some in _LENGTHS.items() for n, t in some.items())
+_SHINGLES = "unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS g"
 OP3_SQL = f"""
-WITH t AS (SELECT DISTINCT license, {_SHINGLES} FROM (SELECT license, {_words('w', 'wording')} FROM (VALUES {_VALUES}) AS v(license, wording))),
+WITH t AS (SELECT DISTINCT license, k, {_SHINGLES} FROM (SELECT license, k, {_words('w', 'wording')} FROM (VALUES {_VALUES}) AS v(license, k, wording))),
 n AS (SELECT license, count(*) AS n_template FROM t GROUP BY 1),
-d AS (SELECT DISTINCT doc_id, {_SHINGLES} FROM (SELECT doc_id, {_words('w', 'text')} FROM documents))
-SELECT doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template FROM d JOIN t USING (g) JOIN n USING (license)
+d AS (SELECT DISTINCT doc_id, k, {_SHINGLES} FROM (SELECT doc_id, unnest({sorted(_LENGTHS)}) AS k, {_words('w', 'text')} FROM documents))
+SELECT doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template FROM d JOIN t USING (k, g) JOIN n USING (license)
 GROUP BY 1, 2 HAVING 100 * count(*) >= {licenses.PERCENT} * any_value(n_template)
 """
 
 
 def tokenizer(name: str) -> str:
-    import public_tokenizers
-
     return public_tokenizers.path(name)
 
 
@@ -117,11 +117,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: personal data and the terms that disclose it."""
-    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir), **pii.WHOLE))
+    return pii.span_columns(pii.personal_spans(documents(spark, sf_dir)))
 
 
 def _digests(ids: list, bpe) -> tuple:
-    return sha256(" ".join([bpe.digits[i] for i in ids]).encode()).hexdigest(), sha256(bpe.decode(ids).encode()).hexdigest()
+    return sha256(" ".join(map(bpe.digits.__getitem__, ids)).encode()).hexdigest(), sha256(bpe.decode(ids).encode()).hexdigest()
 
 
 def op7_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import quoted
+
 SPACE = r"[ \t\n\x0B\f\r]"
 #: Frequent function words of the four languages; a text of prose has some.
 STOP_WORDS = (
@@ -30,7 +32,7 @@ REPEAT_PERCENT = 30
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id and the measured columns of each row. The arrays are columns of their own, each read twice, so that they are computed once."""
-    d = docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    d = docs.select(F.col("doc_id"), F.coalesce(quoted(text), F.lit("")).alias("t"))
     d = d.select("doc_id", "t", F.filter(F.split("t", SPACE + "+"), lambda x: x != "").alias("w"), F.filter(F.split("t", "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "").alias("l"))
     d = d.select("*", F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("h1"))
     left = F.col("n")

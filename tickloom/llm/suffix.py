@@ -5,15 +5,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACES, U, materialize, mix, powers, release, text_slices
+from .common import PLACES, U, materialize, mix, powers, quoted, text_slices
 
 #: Bytes of a k-gram that anchors windows.
 GRAM = 32
 #: Bytes of a digit of the radix sort.
 DIGIT = 50
-#: Contexts of one anchor that are sorted in one task; those of a more frequent anchor are counted window by window.
+#: Contexts of one anchor that are sorted in one task; those of a more frequent anchor take the same passes as Spark group-bys.
 GROUP = 16_384
 POSITION_BITS = 24
+#: Windows of a very long text whose anchors are found at once.
+PIECE = 1 << 21
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
@@ -39,8 +41,15 @@ def anchors_of(data: np.ndarray, offs: np.ndarray, size: int):
     """(row, anchor, first window, number of windows, anchor's hash, context's hash): the runs of windows that share a minimiser.
 
     A window's minimiser is its k-gram of the least hash, the first of equal ones, so equal windows have theirs at the same place.
-    The context is all that these windows cover.
+    The context is all that these windows cover. A very long text goes in pieces that overlap, so a run may end between two of them.
     """
+    if len(offs) == 2 and len(data) >= PIECE + size:
+        parts = []
+        for at in range(0, len(data) - size + 1, PIECE):
+            own = data[at : at + PIECE + size - 1]
+            row, a, s0, *others = anchors_of(own, np.array([0, len(own)]), size)
+            parts.append((row, a + at, s0 + at, *others))
+        return [np.concatenate([p[i] for p in parts]) for i in range(6)]
     s = windows_of(offs, size)
     if not len(s):
         return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, U)] * 2
@@ -154,32 +163,37 @@ def repeated_spans(docs: DataFrame, size: int = 200) -> DataFrame:
             last = gram[-1] if len(gram) else last
         yield from flush()
 
+    depths = [*range(DIGIT, size, DIGIT), size]
+
     def spell(batches):
         for batch in batches:
             data, offs = whole(batch.column(6))
             s = windows_of(offs, size)
             row = np.searchsorted(offs, s, "right") - 1
-            h = span_hash(prefix_hash(data), s, s + size)
+            total, gram = prefix_hash(data), batch.column(2).to_numpy().view(U)[row]
+            digits = {f"h{d}": signed(mix(span_hash(total, s, s + d) ^ gram)) for d in depths}
             take = pa.array(row)
-            yield batch_of({"did": batch.column(0).take(take), "th": batch.column(1).take(take), "known": batch.column(5).take(take), "s": batch.column(3).to_numpy()[row] + s - offs[row], "h": signed(mix(h ^ batch.column(2).to_numpy().view(U)[row]))})
+            yield batch_of({"did": batch.column(0).take(take), "th": batch.column(1).take(take), "known": batch.column(5).take(take), "s": batch.column(3).to_numpy()[row] + s - offs[row], **digits})
 
     anchors = docs.mapInArrow(find, "did long, th long, a long, s long, n long, gram long, context long")
-    common = anchors.select("gram").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    # The first digit is the anchor. What is joined is written first, so that AQE can split the rows of a frequent one.
+    common = materialize(anchors.select("gram").groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"))
     met = materialize(anchors.join(common, "gram").select("did", "th", "s", "n", "gram", "context"))
-    release(docs.sparkSession)
     contexts = met.groupBy("gram", "context").agg(F.count("*").alias("c"), F.min(F.struct("did", "th", "s", "n")).alias("one"))
     contexts = materialize(contexts)
     full = met.join(contexts.where("c > 1").select("gram", "context"), ["gram", "context"]).select("did", "th", "s", (F.col("s") + F.col("n") - 1 + size).alias("e"))
-    varied = contexts.groupBy("gram").agg(F.count("*").alias("v")).where("v > 1")
+    varied = materialize(contexts.groupBy("gram").agg(F.count("*").alias("v")).where("v > 1"))
     asked = contexts.join(varied, "gram").select("one.*", "gram", (F.col("v") > GROUP).alias("hot"), (F.col("c") > 1).alias("known"))
     asked = asked.groupBy("did", "th").agg(*(F.collect_list(c).alias(c) for c in ("gram", "s", "n", "hot", "known")))
     pieces = docs.join(asked, ["did", "th"]).select("did", "th", F.col("text").cast("binary"), "gram", "s", "n", "hot", "known")
     pieces = materialize(pieces.mapInArrow(cut, "did long, th long, gram long, s long, hot boolean, known boolean, bytes binary"))
-    release(docs.sparkSession)
     cold = pieces.where("not hot").select("did", "th", "gram", "s", "known", "bytes").repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, "did long, th long, s long, e long")
-    spelled = pieces.where("hot").mapInArrow(spell, "did long, th long, known boolean, s long, h long")
-    repeated = spelled.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    hot = spelled.where("not known").join(repeated, "h").select("did", "th", "s", (F.col("s") + size).alias("e"))
+    hot = pieces.where("hot").mapInArrow(spell, "did long, th long, known boolean, s long, " + ", ".join(f"h{d} long" for d in depths))
+    for d in depths:  # what stands alone after a pass goes
+        hot = materialize(hot)
+        twice = materialize(hot.groupBy(f"h{d}").agg(F.count("*").alias("c")).where("c > 1").select(f"h{d}"))
+        hot = hot.join(twice, f"h{d}").select("did", "th", "known", "s", *(f"h{e}" for e in depths if e > d))
+    hot = hot.where("not known").select("did", "th", "s", (F.col("s") + size).alias("e"))
     return full.unionByName(cold).unionByName(hot)
 
 
@@ -193,10 +207,10 @@ def drop_repeats(docs: DataFrame, size: int = 200, text: str = "text") -> DataFr
     """(doc_id, text, n_bytes, n_removed, n_spans, kept) for each row of docs; kept is what is left, as bytes.
 
     Every byte that a string of size bytes covers which also starts anywhere else, in the same row or another, is removed; a
-    repeated row is another place, with or without a doc_id. Null is an empty text. Extra columns are ignored. Strings are compared
-    by 64-bit hashes of 50-byte digits within groups that share a 32-byte string.
+    repeated row is another place, with or without a doc_id. Null is an empty text; texts of any length are taken whole. Extra columns
+    are ignored. Strings are compared by 64-bit hashes of 50-byte digits within groups that share a 32-byte string.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(quoted(text), F.lit("")).alias("text"))
     keyed = keyed.select("*", F.coalesce("doc_id", F.lit(-1)).alias("did"), F.xxhash64("text").alias("th"))
     spans = repeated_spans(keyed.select("did", "th", "text"), size).groupBy("did", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     joined = keyed.join(spans, ["did", "th"], "left").select("doc_id", F.col("text").cast("binary"), F.col("spans.s").alias("s"), F.col("spans.e").alias("e"))

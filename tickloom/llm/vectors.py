@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, materialize, quoted
 
 COSINE = 0.95
 #: Filters of each vector at least, vectors of a filter on average, and blocks of the product code.
@@ -88,16 +88,18 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", cosine: float =
     Vectors are linked at a cosine, in double precision, of `cosine` or more. Those that are null, empty, zero, or hold null or non-finite
     components link with nothing, and so do vectors of other lengths than the most frequent one with those of that length (each length
     is its own space). Rows without a vec_id link like others but are no component's name unless alone; repeated rows count apart.
-    Equal vectors are one class; classes meet in shared caps. A pair of a block is counted in the least of the caps that it shares.
+    Equal vectors (by 128-bit hashes of their directions) are one class; classes meet in shared caps. A pair of a block is counted in the least of the caps that it shares.
     """
     spark = vectors.sparkSession
-    kind = "array<float>" if vectors.select(column).dtypes[0][1] == "array<float>" else "array<double>"
-    v = F.col(column).cast(kind)
+    kind = "array<float>" if vectors.select(quoted(column)).dtypes[0][1] == "array<float>" else "array<double>"
+    v = quoted(column).cast(kind)
     peak = F.array_max(F.transform(v, lambda x: F.abs(x)))
     sound = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & (peak > 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(sound, v).alias("v"), F.when(sound, F.xxhash64(F.transform(v, lambda x: x / peak))).alias("cid"))
-    keyed = rows.select("vec_id", "v", "cid")
-    classes = materialize(keyed.where("cid is not null").groupBy("cid").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("vec_id").alias("least")))
+    scaled = F.transform(v, lambda x: x / peak)
+    keyed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(sound, v).alias("v"), F.when(sound, F.xxhash64(scaled)).alias("a"), F.when(sound, F.xxhash64(F.lit(1), scaled)).alias("b"))
+    classes = keyed.where("a is not null").groupBy("a", "b").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
+    # A class has a number of its own, fixed when the table is written.
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), "*"))
     links = None
     for dim, n in [(r.d, r.n) for r in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()]:
         found = materialize(linked(classes.where(F.size("v") == dim), dim, n, cosine))
@@ -106,10 +108,10 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", cosine: float =
         links = spark.createDataFrame([], "cid long, more long, other long")
     comp = connected_components(links.where("other is not null").select(F.col("cid").alias("src"), F.col("other").alias("dst")))
     totals = links.where("other is null").groupBy("cid").agg(F.sum("more").alias("more"))
-    named = classes.select("cid", "copies", "least").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    named = classes.select("cid", "a", "b", "copies", "least").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    per_class = materialize(named.join(names, "comp").join(totals, "cid", "left").select("cid", (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"))
-    out = keyed.select("vec_id", "cid").join(per_class, "cid", "left")
+    per_class = materialize(named.join(names, "comp").join(totals, "cid", "left").select("a", "b", (F.coalesce("more", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"))
+    out = keyed.select("vec_id", "a", "b").join(per_class, ["a", "b"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("vec_id"), F.lit(True)))
 
