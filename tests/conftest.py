@@ -18,7 +18,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def spark():
     tmp = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     conf = {
-        "spark.master": "local[8]", "spark.driver.memory": "6g", "spark.sql.shuffle.partitions": "8", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false",
+        "spark.master": "local[8]", "spark.driver.memory": "6g", "spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false",
         "spark.checkpoint.dir": f"{tmp}/shared", "spark.local.dir": f"{tmp}/local", "spark.sql.warehouse.dir": f"{tmp}/warehouse", "spark.ui.showConsoleProgress": "false",
     }
     s = SparkSession.builder.config(map=conf).getOrCreate()
