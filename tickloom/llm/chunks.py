@@ -9,7 +9,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, bloom_filter, materialize, may_hold, powers, process_memo, quoted, text_slices
+from ..scratch import discard
+from .common import U, bloom_filter, materialize, may_hold, powers, process_memo, quoted, text_slices, written
 
 #: Bytes under the rolling hash; a chunk has about MEAN bytes, LEAST at least.
 ROLL, MEAN, LEAST = 16, 1024, 256
@@ -152,7 +153,9 @@ def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("id
     length are taken whole; repeated rows, null ids and other columns make no difference. derive(ids, bpe) gives the columns' values.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("did"), F.coalesce(quoted(text), F.lit("")).alias("text"))
-    filter_bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(materialize(repeated_chunks(keyed)), "a"))
+    repeated, folder = written(repeated_chunks(keyed))
+    filter_bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(repeated, "a"))
+    discard(docs.sparkSession, folder)
     arrow = {"array<int>": pa.list_(pa.int32()), "string": pa.string()}
     types = [pa.int64(), *(arrow[k] for _, k in columns)]
     results = "n_tokens long, " + ", ".join(f"{c} {k}" for c, k in columns)

@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACES, U, connected_components, distinct_in_rows, list_array, materialize, mix, quoted, shingle_hashes, text_slices, word_hashes
+from ..scratch import discard, watch
+from .common import PLACES, U, connected_components, distinct_in_rows, list_array, materialize, mix, quoted, shingle_hashes, text_slices, word_hashes, written
 
 #: 32 bands of 4 rows miss a pair of similarity 0.8 with probability 5e-8, and one of 0.85 with 6e-11.
 BANDS, ROWS = 32, 4
@@ -123,7 +124,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     classes = known.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.first("bands").alias("bands"))
     # A class has a number of its own, as a doc_id may occur with several sets; it is fixed when the table is written.
     classes = materialize(classes.select(F.monotonically_increasing_id().alias("cid"), F.col("r.doc_id").alias("rep"), F.col("r.th").alias("th"), "n_shingles", "bands", "set_a", "set_b"))
-    labels = class_components(docs, classes, k, percent, text)
+    with watch() as made:
+        labels, path = written(class_components(docs, classes, k, percent, text))
+    discard(docs.sparkSession, *(p for p in made if p != path))
     comp = classes.join(labels, F.col("cid") == F.col("node"), "left").select("set_a", "set_b", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = comp.groupBy("comp").agg(F.min("rep").alias("component_id"))
     by_set = comp.join(least, "comp").select("set_a", "set_b", "component_id", F.col("comp").alias("component"))
@@ -151,7 +154,7 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int,
     links = materialize(verified(pairs, sets, percent))
     labels = materialize(connected_components(links))
     more = materialize(across(shared, labels, sets, percent))
-    return materialize(connected_components(links.union(more)))
+    return connected_components(links.union(more))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

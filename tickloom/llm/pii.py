@@ -8,7 +8,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_LUT, PLACES, U, as_struct, bloom_filter, field, materialize, may_hold, mix, quoted, text_slices, word_hashes
+from ..scratch import discard, watch
+from .common import LOWER_LUT, PLACES, U, as_struct, bloom_filter, field, materialize, may_hold, mix, quoted, text_slices, word_hashes, written
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -213,8 +214,10 @@ def personal_spans(docs: DataFrame, text: str = "text", discloses: float = DISCL
     rows, gives none; a value that all rows hold discloses and is disclosed by nothing. Other columns are ignored.
     """
     rows = materialize(scan(docs, text))
-    counts = materialize(term_counts(docs, text))
-    risky = materialize(disclosing(rows, counts, rows.count(), discloses))
+    with watch() as made:
+        counts = materialize(term_counts(docs, text))
+        risky, path = written(disclosing(rows, counts, rows.count(), discloses))
+    discard(docs.sparkSession, *(p for p in made if p != path))
     words, general = risky.where("term % 2 = 0"), risky.where("term % 2 <> 0")  # as many generalisations as classes and first characters
     found = occurrences(docs, text, bloom_filter(words, "term")).join(words, "term")
     for name in ("fine", "coarse"):
