@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import discard
-from .common import U, bloom_filter, materialize, may_hold, powers, process_memo, quoted, text_slices, written
+from .common import U, bloom_filter, drop_memos, materialize, may_hold, powers, process_memo, quoted, text_slices, written
 
 #: Bytes under the rolling hash; a chunk has about MEAN bytes, LEAST at least.
 ROLL, MEAN, LEAST = 16, 1024, 256
 #: Words in a worker's memo, and the longest that is kept; chunks that a task remembers to have sent.
-MEMO_WORDS, MEMO_BYTES, SENT = 300_000, 64, 500_000
+MEMO_WORDS, MEMO_BYTES, SENT = 200_000, 64, 200_000
 #: Kinds of rows of the first pass: a text that is done, a part of a text, and a chunk to encode.
 DONE, PART, CHUNK = 0, 1, 2
 
@@ -129,8 +129,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(a, b) of every chunk that stands in more than one place of docs(did, text)."""
 
     def run(batches):
+        drop_memos()
         for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
+            for _, _, data, offs in text_slices(batch.column(0), 1 << 20):
                 raw = data.tobytes()
                 found = [chunk_hashes(raw, s, cut) for s, cut in zip(offs[:-1].tolist(), chunk_cuts(data, offs), strict=True)]
                 h, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
