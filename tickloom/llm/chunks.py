@@ -15,7 +15,7 @@ from .common import U, bloom_filter, drop_memos, materialize, may_hold, powers,
 #: Bytes under the rolling hash; a chunk has about MEAN bytes, LEAST at least.
 ROLL, MEAN, LEAST = 16, 1024, 256
 #: Words in a worker's memo, and the longest that is kept; chunks that a task remembers to have sent.
-MEMO_WORDS, MEMO_BYTES, SENT = 200_000, 64, 200_000
+MEMO_WORDS, MEMO_BYTES, SENT = 150_000, 64, 50_000
 #: Kinds of rows of the first pass: a text that is done, a part of a text, and a chunk to encode.
 DONE, PART, CHUNK = 0, 1, 2
 
@@ -26,7 +26,7 @@ def chunk_cuts(data: np.ndarray, offs: np.ndarray) -> list:
     if len(data) > ROLL:
         total = np.zeros(len(data) + 1, U)
         with np.errstate(over="ignore"):
-            up, down = powers(len(data))
+            up, down = powers(len(data), 1 << 19)
             np.cumsum((data.astype(U) + U(1)) * up[: len(data)], out=total[1:])
             h = (total[ROLL:] - total[:-ROLL]) * down[: len(total) - ROLL]
             h = (h ^ (h >> U(29))) * U(0xBF58476D1CE4E5B9)
@@ -66,8 +66,10 @@ class WordBpe:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         new = [w for w in set(data.split()).difference(self.memo) if len(w) <= MEMO_BYTES]
-        for w, e in zip(new, self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.memo[w] = array(self.code, e.ids).tobytes()
+        for i in range(0, len(new), 2000):  # the library's encodings are large
+            some = new[i : i + 2000]
+            for w, e in zip(some, self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                self.memo[w] = array(self.code, e.ids).tobytes()
 
     def word(self, w: bytes) -> bytes:
         return self.memo.get(w) or array(self.code, self.tok.encode(w.decode(), add_special_tokens=False).ids).tobytes()
@@ -131,7 +133,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     def run(batches):
         drop_memos()
         for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0), 1 << 20):
+            for _, _, data, offs in text_slices(batch.column(0), 1 << 18):
                 raw = data.tobytes()
                 found = [chunk_hashes(raw, s, cut) for s, cut in zip(offs[:-1].tolist(), chunk_cuts(data, offs), strict=True)]
                 h, n = np.unique(np.concatenate(found), axis=0, return_counts=True)
@@ -172,7 +174,7 @@ def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("id
     def first_pass(batches):
         bpe, sent = process_memo(f"words {path}", lambda: WordBpe(path)), set()
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(2), 1 << 20):
+            for i, j, data, offs in text_slices(batch.column(2), 1 << 18):
                 raw, texts, rows = data.tobytes(), [], []
                 for rid, did, s, cut in zip(batch.column(0).slice(i, j - i).to_pylist(), batch.column(1).slice(i, j - i).to_pylist(), offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
                     h = chunk_hashes(raw, s, cut)

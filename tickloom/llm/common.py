@@ -106,10 +106,10 @@ BASE = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int, least: int = SLICE_BYTES + (SLICE_BYTES >> 2)) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64, for i up to n at least."""
     if "up" not in _powers or len(_powers["up"]) <= n:
-        size = max(n + 1, SLICE_BYTES + (SLICE_BYTES >> 2))
+        size = max(n + 1, least)
         for name, b in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             with np.errstate(over="ignore"):
                 _powers[name] = np.cumprod(np.concatenate([np.ones(1, U), np.full(size, b, U)]))
