@@ -1,6 +1,7 @@
 """Encoding and decoding with reuse of content-defined chunks: a chunk that repeats is encoded once, joins are encoded anew."""
 
 import json
+import os
 from array import array
 
 import numpy as np
@@ -15,7 +16,7 @@ from .common import U, bloom_filter, drop_memos, materialize, may_hold, powers,
 #: Bytes under the rolling hash; a chunk has about MEAN bytes, LEAST at least.
 ROLL, MEAN, LEAST = 16, 1024, 256
 #: Words in a worker's memo, and the longest that is kept; chunks that a task remembers to have sent.
-MEMO_WORDS, MEMO_BYTES, SENT = 150_000, 64, 50_000
+MEMO_WORDS, MEMO_BYTES, SENT = 200_000, 64, 50_000
 #: Kinds of rows of the first pass: a text that is done, a part of a text, and a chunk to encode.
 DONE, PART, CHUNK = 0, 1, 2
 
@@ -48,6 +49,7 @@ class WordBpe:
     """The library's ids for words between white space, as little-endian 16- or 32-bit numbers, through a memo of words."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -174,7 +176,7 @@ def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("id
     def first_pass(batches):
         bpe, sent = process_memo(f"words {path}", lambda: WordBpe(path)), set()
         for batch in batches:
-            for i, j, data, offs in text_slices(batch.column(2), 1 << 18):
+            for i, j, data, offs in text_slices(batch.column(2), 1 << 19):
                 raw, texts, rows = data.tobytes(), [], []
                 for rid, did, s, cut in zip(batch.column(0).slice(i, j - i).to_pylist(), batch.column(1).slice(i, j - i).to_pylist(), offs[:-1].tolist(), chunk_cuts(data, offs), strict=True):
                     h = chunk_hashes(raw, s, cut)
@@ -230,7 +232,7 @@ def encode_decode(docs: DataFrame, path: str, derive=ids_and_text, columns=(("id
         if of:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((of[1], *finish(bpe, assemble(bpe, held))), [pa.int64(), *types], strict=True)], ["doc_id", *names[9:]])
 
-    passed = materialize(keyed.select(F.monotonically_increasing_id().alias("rid"), "did", "text").mapInArrow(first_pass, place + results), "kind")
+    passed = materialize(keyed.select(F.monotonically_increasing_id().alias("rid"), "did", "text").mapInArrow(first_pass, place + results))
     chunks = passed.where(F.col("kind") == CHUNK).select("a", "b", F.col("code").alias("chunk"))
     codes = materialize(chunks.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(encode_once, "a long, b long, head binary, code binary, tail binary"))
     parts = passed.where(F.col("kind") == PART).select("rid", "did", "i", "a", "b", "head", "code", "tail")
