@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, licenses, lines, minhash, packing, pii, quality, rules, suffix, vectors
+from . import alignment, audit, chunks, licenses, lines, minhash, mixing, packing, pii, quality, rules, suffix, vectors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,13 +144,66 @@ FROM embeddings JOIN r ON node = vec_id GROUP BY vec_id
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley: five filters in all orders."""
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("filter")
+
+
+OP11_SQL = r"""
+WITH l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+  + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS fails FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+c AS (SELECT unnest(range(5)) AS i),
+o AS (SELECT [a.i, b.i, c3.i, e.i, g.i] AS p FROM c a, c b, c c3, c e, c g WHERE len(list_distinct([a.i, b.i, c3.i, e.i, g.i])) = 5),
+s AS (SELECT array_to_string(list_transform(p, lambda x: chr(65 + x::INT)), '') AS filter_order, k AS step, p[k] AS i, (1 << p[k])::INT AS bit, coalesce(list_sum(list_transform(p[: k - 1], lambda x: (1 << x)::INT)), 0)::INT AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS k)),
+r AS (SELECT part, filter_order, step, i, sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN fails & before > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost FROM m, s GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, i))::BIGINT AS shapley FROM r
+"""
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256: two tokenizers aligned by bytes."""
+    found = alignment.align_tokens(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"), derive=alignment.digest)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.coalesce("groups", F.lit("")).alias("groups_sha256"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken, position: sources mixed by a curriculum, documents in the order of their first copy in training."""
+    mixed = mixing.mix_sources(documents(spark, sf_dir))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken", F.expr("get(copies, 0).position").alias("position"), "tie").orderBy(F.col("position").asc_nulls_last(), "tie").drop("tie")
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(doc_id::VARCHAR, '')) || md5(coalesce(text, '')) AS tie FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT AS slot FROM d GROUP BY 1),
+w AS (SELECT *, [3.0, 1.0, 2.0][slot + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS mixed FROM s),
+u AS (SELECT *, mixed - (sum(most) OVER o - most) AS lefts, sum(weight) OVER () - sum(weight) OVER o + weight AS heavy FROM w WINDOW o AS (ORDER BY source_size / weight, source ROWS UNBOUNDED PRECEDING)),
+v AS (SELECT *, most * heavy <= weight * lefts AS stops FROM u),
+t AS (SELECT *, CASE WHEN stops THEN most ELSE (mixed - sum(CASE WHEN stops THEN most ELSE 0 END) OVER ()) * weight / sum(CASE WHEN stops THEN 0 ELSE weight END) OVER () END AS target FROM v),
+p AS (SELECT d.*, source_size, target, mixed, weight, slot, floor(target)::BIGINT AS need, (sum(size) OVER (PARTITION BY d.source ORDER BY tie ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, greatest(0, least(size, need - start)) AS once, greatest(0, least(size, need - start - source_size)) AS again FROM p),
+q AS (SELECT *, CASE WHEN once > 0 THEN weight * (start + once / 2.0::DOUBLE) / need END AS y FROM c),
+k AS (SELECT *, CASE slot WHEN 0 THEN 2 * y / (4.5::DOUBLE + sqrt(20.25::DOUBLE - 6 * y)) WHEN 1 THEN 2 * y / 2
+  ELSE CASE WHEN y < 0.75 THEN 2 * y / (1 + sqrt(1 + 4 * y)) ELSE 0.5::DOUBLE + 2 * (y - 0.75::DOUBLE) / (2 + sqrt(4 + 4 * (y - 0.75::DOUBLE))) END END AS time FROM q)
+SELECT doc_id, size, source_size, target, (once + again)::BIGINT AS taken, floor(time * mixed)::BIGINT AS position FROM k
+"""
+
+
 def queries() -> dict:
     own = (
         op1_minhash_dedup, op2_quality_classifier, op3_license_scan, op4_best_fit_packing, op5_pii, op6_quality_rules, op7_bpe_chunks, op8_embedding_dedup,
-        op9_suffix_dedup, op10_line_dedup,
+        op9_suffix_dedup, op10_line_dedup, op11_filter_audit, op12_token_alignment, op13_source_mix,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict:
-    return {"op1_minhash_dedup": OP1_SQL, "op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL, "op10_line_dedup": OP10_SQL, "op11_filter_audit": OP11_SQL, "op13_source_mix": OP13_SQL}
