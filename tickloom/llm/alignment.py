@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import discard
-from .common import list_array, process_memo, quoted, written
+from .common import materialize, process_memo, quoted, written
 
-#: Bytes of text in a block of documents, whose distinct segments are held at once; rows of a batch; distinct segments encoded in one call.
+#: Bytes of text in a block of documents, whose distinct segments are held at once; rows that leave together; distinct segments encoded in one call.
 BLOCK_BYTES, ROWS, AT_ONCE = 12 << 20, 40_000, 4000
 #: Texts of so many characters are not cut into a list at once.
 LONG = 1 << 20
@@ -128,6 +128,20 @@ def counted(ids: list) -> dict:
     return out
 
 
+def packed(values) -> bytes:
+    """An array, or text as bytes, compressed, with its length in front: what is shuffled is mostly small numbers."""
+    raw = values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def array_of(some: list, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(map(unpacked, some)), kind)
+
+
 def pieces_of(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The runs of values that have `sizes`, in another order of the runs."""
     starts = (np.cumsum(sizes) - sizes)[order]
@@ -137,7 +151,9 @@ def pieces_of(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.nd
 
 def segmented(docs: DataFrame, make, text: str) -> DataFrame:
     """(kind, block, i, segment, doc_id, codes): each document as the numbers of its segments in its block, and each block's distinct segments by number."""
-    schema = "kind int, block long, i int, segment string, doc_id long, codes array<int>"
+    schema = "kind int, block long, i int, segment string, doc_id long, codes binary"
+
+    names = ["kind", "block", "i", "segment", "doc_id", "codes"]
 
     def run(batches):
         cut, block = make().cut, TaskContext.get().partitionId() << 32
@@ -149,14 +165,13 @@ def segmented(docs: DataFrame, make, text: str) -> DataFrame:
             for s in range(0, len(segments), ROWS):
                 some = segments[s : s + ROWS]
                 n = len(some)
-                none = pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, SEGMENT, np.int32)), pa.array(np.full(n, block)), pa.array(np.arange(s, s + n, dtype=np.int32)), pa.array(some, pa.string()), *none], schema=None, names=["kind", "block", "i", "segment", "doc_id", "codes"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, SEGMENT, np.int32)), pa.array(np.full(n, block)), pa.array(np.arange(s, s + n, dtype=np.int32)), pa.array(some, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
 
         for batch in batches:
             rows, held = [], 0
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = value.as_py() or ""
-                rows.append((DOC, block, None, None, doc_id, np.fromiter((known.setdefault(s, len(known)) for s in (cut(" " + raw) if raw else ())), np.int32)))
+                rows.append((DOC, block, None, None, doc_id, packed(np.fromiter((known.setdefault(s, len(known)) for s in (cut(" " + raw) if raw else ())), np.int32))))
                 size += len(raw)
                 held += len(raw)
                 full = size >= BLOCK_BYTES
@@ -172,10 +187,8 @@ def segmented(docs: DataFrame, make, text: str) -> DataFrame:
         yield from flush()
 
     def doc_rows(rows):
-        types = pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int32())
-        cols = list(zip(*rows, strict=True))
-        codes = list_array(np.concatenate([np.zeros(0, np.int32), *cols[5]]), np.cumsum([0, *map(len, cols[5])]))
-        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols[:5], types, strict=False)), codes], ["kind", "block", "i", "segment", "doc_id", "codes"])
+        types = pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), quoted(text).alias("text")).mapInArrow(run, schema)
 
@@ -186,9 +199,25 @@ def aligned(segments: DataFrame, make) -> DataFrame:
     Rows come in the order of segments; what a batch has for one block leaves as one row of packed arrays.
     """
     names = ["block", "i", "numbers", "texts", "links", "times"]
+    types = pa.int64(), *[pa.binary()] * 5
 
     def run(batches):
-        both, last = make(), None
+        both, last, held, n_held = make(), None, [], 0
+
+        def flush():
+            blocks, i, of = (np.concatenate([h[k] for h in held]) for k in range(3))
+            numbers, links, times = (np.concatenate([h[k] for h in held]) for k in (3, 5, 6))
+            texts, n = [t for h in held for t in h[4]], numbers[:, 4].astype(np.int64)
+            order = np.argsort(blocks, kind="stable")
+            bounds = np.flatnonzero(np.diff(blocks[order], prepend=blocks[order[0]] - 1)).tolist()
+            rows = []
+            for s, e in zip(bounds, [*bounds[1:], len(order)], strict=True):
+                at = order[s:e]
+                k = of[at]
+                rows.append((int(blocks[at[0]]), packed(i[at]), packed(numbers[k]), packed("\n".join([texts[x] for x in k.tolist()]).encode()), packed(pieces_of(links, n, k)), packed(pieces_of(times, n, k))))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+        known = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -199,80 +228,64 @@ def aligned(segments: DataFrame, make) -> DataFrame:
             made += [both.align(new[s : s + AT_ONCE]) for s in range(0, len(new), AT_ONCE)]
             numbers, texts = np.concatenate([m[0] for m in made]), [t for m in made for t in m[1]]
             links, times = (np.concatenate([m[k] for m in made]) for k in (2, 3))
-            n = numbers[:, 4].astype(np.int64)
-            last = distinct[-1], (numbers[-1:], texts[-1:], links[len(links) - n[-1] :], times[len(times) - n[-1] :])
-            blocks, i = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            order = np.argsort(blocks, kind="stable")
-            bounds = np.flatnonzero(np.diff(blocks[order], prepend=blocks[order[0]] - 1)).tolist()
-            rows = []
-            for s, e in zip(bounds, [*bounds[1:], len(order)], strict=True):
-                at = order[s:e]
-                k = of[at]
-                rows.append((int(blocks[at[0]]), i[at].tobytes(), numbers[k].tobytes(), "\n".join([texts[x] for x in k.tolist()]), pieces_of(links, n, k).tobytes(), pieces_of(times, n, k).tobytes()))
-            types = pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.binary()
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            n = int(numbers[-1, 4])
+            last = distinct[-1], (numbers[-1:], texts[-1:], links[len(links) - n :], times[len(times) - n :])
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), of + known, numbers, texts, links, times))
+            known, n_held = known + len(distinct), n_held + batch.num_rows
+            if n_held >= ROWS:
+                yield flush()
+                held, n_held, known = [], 0, 0
+        if held:
+            yield flush()
 
     ordered = segments.repartition("segment").sortWithinPartitions("segment")
-    return ordered.mapInArrow(run, "block long, i binary, numbers binary, texts string, links binary, times binary")
+    return ordered.mapInArrow(run, "block long, i binary, numbers binary, texts binary, links binary, times binary")
 
 
 RESULTS = ("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("n_links", "long"), ("groups", "string")
 
 
+DOC_SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("doc_id", pa.int64()), *((c, pa.string() if t == "string" else pa.int64()) for c, t in RESULTS), ("places", pa.binary()), ("numbers", pa.binary()), ("links", pa.list_(pa.int64())), ("holders", pa.list_(pa.int64()))])
+
+
 def compose(codes: pa.Table, parts: pa.Table, derive) -> pa.Table:
     """A block's documents from their segments: rows of kind DOC with their counts, groups and distinct links (as places in the block's list of
-    links), and one of kind SEGMENT with that list and the number of documents that hold each link."""
+    links, and how often each is there), and one of kind SEGMENT with that list and the number of documents that hold each link."""
     block = (codes if codes.num_rows else parts)["block"][0].as_py()
-    packed = [np.frombuffer(b"".join(parts[c].to_pylist()), t) for c, t in (("i", np.int32), ("numbers", np.int32), ("links", np.int64), ("times", np.int32))]
-    i, numbers, links, times = packed
+    i, numbers, links, times = (array_of(parts[c].to_pylist(), t) for c, t in (("i", np.int32), ("numbers", np.int32), ("links", np.int64), ("times", np.int32)))
     numbers = numbers.reshape(-1, 6)
-    texts = [t for some in parts["texts"].to_pylist() for t in some.split("\n")]
+    texts = [t for some in parts["texts"].to_pylist() for t in unpacked(some).decode().split("\n")]
     order = np.argsort(i)
     n = numbers[:, 4].astype(np.int64)
-    links, times = pieces_of(links, n, order), pieces_of(times, n, order).astype(np.int64)
+    links, times = pieces_of(links, n, order), pieces_of(times, n, order)
     numbers, n = numbers[order].astype(np.int64), n[order]
     texts = [texts[k] for k in order.tolist()]
     distinct, of = np.unique(links, return_inverse=True)
-    starts, holders = np.cumsum(n) - n, np.zeros(len(distinct), np.int64)
-    sums, found, held = np.zeros((codes.num_rows, 4), np.int64), [], []
-    groups = []
-    for row, value in enumerate(codes["codes"]):
-        own = value.values.to_numpy() if value.values is not None else np.zeros(0, np.int32)
+    starts, holders, rows = np.cumsum(n) - n, np.zeros(len(distinct), np.int64), []
+    for doc_id, value in zip(codes["doc_id"].to_pylist(), codes["codes"], strict=True):
+        own = np.frombuffer(unpacked(value.as_py()), np.int32)
         if not len(own) or not numbers[own, 5].all():
-            groups.append(None)
-            found.append(np.zeros(0, np.int64))
-            held.append(np.zeros(0, np.int64))
+            rows.append((DOC, block, doc_id, 0, 0, 0, 0, None, packed(b""), packed(b""), None, None))
             continue
-        groups.append(derive(";".join(map(texts.__getitem__, own.tolist()))))
         once, many = np.unique(own, return_counts=True)
-        sums[row] = many @ numbers[once, :4]
-        at = np.repeat(starts[once] - np.cumsum(n[once]) + n[once], n[once]) + np.arange(n[once].sum())
+        size = n[once]
+        at = np.repeat(starts[once] - np.cumsum(size) + size, size) + np.arange(size.sum())
         places, back = np.unique(of[at], return_inverse=True)
-        total = np.zeros(len(places), np.int64)
-        np.add.at(total, back, times[at] * np.repeat(many, n[once]))
+        total = np.bincount(back, weights=times[at] * np.repeat(many, size))
         holders[places] += 1
-        found.append(places)
-        held.append(total)
-    keep = np.flatnonzero(holders)
-    renumbered = np.cumsum(holders > 0) - 1
-    bounds = np.cumsum([0, *map(len, found)])
-    docs = [
-        pa.array(np.full(codes.num_rows, DOC, np.int32)), pa.array(np.full(codes.num_rows, block)), codes["doc_id"].combine_chunks(), *(pa.array(sums[:, k].copy()) for k in range(4)), pa.array(groups, pa.string()),
-        list_array(renumbered[np.concatenate([np.zeros(0, np.int64), *found])], bounds), list_array(np.concatenate([np.zeros(0, np.int64), *held]), bounds),
-    ]
-    names = ["kind", "block", "doc_id", *(c for c, _ in RESULTS), "places", "numbers"]
-    one = [pa.array([SEGMENT], pa.int32()), pa.array([block]), *(pa.nulls(1, t) for t in (*[pa.int64()] * 5, pa.string())), list_array(distinct[keep], np.array([0, len(keep)])), list_array(holders[keep], np.array([0, len(keep)]))]
-    return pa.concat_tables([pa.Table.from_arrays(docs, names), pa.Table.from_arrays(one, names)])
+        rows.append((DOC, block, doc_id, *(many @ numbers[once, :4]).tolist(), derive(";".join(map(texts.__getitem__, own.tolist()))), packed(np.diff(places, prepend=0).astype(np.int32)), packed(total.astype(np.int64)), None, None))
+    rows.append((SEGMENT, block, None, *[None] * len(RESULTS), None, None, distinct, holders))
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), DOC_SCHEMA, strict=True)], schema=DOC_SCHEMA)
 
 
 def valued(docs: pa.Table, links: pa.Table) -> pa.Table:
     """A block's documents with n_best and count_sum, from the counts of its links by place."""
-    count, best = (np.zeros(links.num_rows, np.int64) for _ in range(2))
     place = links["place"].to_numpy()
+    count, best = (np.zeros(1 + int(place.max(initial=-1)), np.int64) for _ in range(2))
     count[place], best[place] = links["count"].to_numpy(), links["best"].to_numpy()
     out = []
     for places, times in zip(docs["places"], docs["numbers"], strict=True):
-        p, t = places.values.to_numpy(), times.values.to_numpy()
+        p, t = np.cumsum(np.frombuffer(unpacked(places.as_py()), np.int32)), np.frombuffer(unpacked(times.as_py()), np.int64)
         out.append((int(best[p] @ t), int(count[p] @ t)))
     kept = docs.select(["doc_id", *(c for c, _ in RESULTS)])
     both = list(zip(*out, strict=True)) or [[], []]
@@ -304,22 +317,23 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str, derive=same, text: s
         return compose(codes, parts, derive)
 
     spark = docs.sparkSession
-    cut, cut_at = written(segmented(docs, make, text))
+    cut, cut_at = written(segmented(docs, make, text), "kind")
     parts, parts_at = written(aligned(cut.where(F.col("kind") == SEGMENT).select("segment", "block", "i"), make))
+    discard(spark, f"{cut_at}/kind={SEGMENT}")
     codes = cut.where(F.col("kind") == DOC).select("block", "doc_id", "codes")
     results = ", ".join(f"{c} {t}" for c, t in RESULTS)
-    made, made_at = written(codes.groupBy("block").cogroup(parts.groupBy("block")).applyInArrow(composed, f"kind int, block long, doc_id long, {results}, places array<long>, numbers array<long>"))
+    schema = f"kind int, block long, doc_id long, {results}, places binary, numbers binary, links array<long>, holders array<long>"
+    made, made_at = written(codes.groupBy("block").cogroup(parts.groupBy("block")).applyInArrow(composed, schema), "kind")
     discard(spark, cut_at, parts_at)
-    lists = made.where(F.col("kind") == SEGMENT).select("block", F.posexplode(F.arrays_zip("places", "numbers")).alias("place", "x"))
-    lists = lists.select("block", "place", F.col("x.places").alias("link"), F.col("x.numbers").alias("n"))
-    counts, _ = written(lists.groupBy("link").agg(F.sum("n").alias("count")))
+    lists = made.where(F.col("kind") == SEGMENT).select("block", F.posexplode(F.arrays_zip("links", "holders")).alias("place", "x"))
+    lists = lists.select("block", "place", F.col("x.links").alias("link"), F.col("x.holders").alias("n")).where("n > 0")
+    counts = materialize(lists.groupBy("link").agg(F.sum("n").alias("count")))
     first = F.shiftright("link", 32)
     most = counts.groupBy(first.alias("a")).agg(F.max("count").alias("most"))
     known = counts.join(most, first == F.col("a")).select("link", "count", (F.col("count") == F.col("most")).cast("long").alias("best"))
     links = lists.drop("n").join(known, "link").select("block", "place", "count", "best")
-    schema = f"doc_id long, {results}, n_best long, count_sum long"
-    left = spark.read.schema(made.schema).parquet(made_at).where(F.col("kind") == DOC).drop("kind")
-    return left.groupBy("block").cogroup(links.groupBy("block")).applyInArrow(valued, schema)
+    left = spark.read.schema(made.schema).parquet(made_at).where(F.col("kind") == DOC).select("block", "doc_id", *(c for c, _ in RESULTS), "places", "numbers")
+    return left.groupBy("block").cogroup(links.groupBy("block")).applyInArrow(valued, f"doc_id long, {results}, n_best long, count_sum long")
 
 
 def digest(groups: str) -> str:
