@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tickloom import settings
 from tickloom.functions import expiry, numbers, symbols
-from tickloom.operators import bars, baskets, normalize, sinks
+from tickloom.operators import bars, baskets, contracts, normalize, sinks
 from tickloom.plans import steps
 from tickloom.schema import CONTRACT_COLUMNS, MASTER_COLUMNS
 from tickloom.scratch import discard
-from tickloom.sources import files
+from tickloom.sources import files, lines
 from tickloom.streaming import intake
 
 CELLS = ["1", "Reliance", "0", "1", "0.10", "INE1", "0915-1530|1815-1915:", "", "", "NSE:RELIANCE-EQ", "10", "10", "2885", "RELIANCE", "", "-1.0", "XX", "", "", "", ""]
@@ -33,6 +33,88 @@ def test_master_with_older_header(spark, tmp_path):
     assert (row.fyToken, row.symDetails, row.exInstType, row.symTicker, row.isin) == ("7", "Name", "0", "NSE:A-EQ", None) and len(MASTER_COLUMNS) == 21
 
 
+def test_files_of_one_folder_have_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",".join(CELLS) + "\n" + ",".join(CELLS[:20]) + "\n\n,,,,,,,,,,,,,,,,,,,,\n")
+    (tmp_path / "b.csv").write_bytes(b'\xef\xbb\xbf\r\nISIN,ShortSym,shortsym,other,symTicker\r\nINE7,x,"S ""7"", y"z,o,NSE:B-EQ\r\nINE8,x,y,o\r\n')
+    (tmp_path / "c.csv").write_text("symticker,exchange\nthis is no header,as none of its names is an older one\n")
+    (tmp_path / "d.csv").write_text("")
+    good, bad = files.read_master(spark, str(tmp_path))
+    got = {r.source_path.rsplit("/", 1)[1] + str(r.ordinal): r for r in good.collect()}
+    assert set(got) == {"a.csv0", "b.csv2"}
+    assert (got["a.csv0"].symTicker, got["a.csv0"].underExToken) == ("NSE:RELIANCE-EQ", None)
+    assert (got["b.csv2"].isin, got["b.csv2"].exSymName, got["b.csv2"].symTicker, got["b.csv2"].fyToken) == ("INE7", 'S "7", yz', "NSE:B-EQ", None)
+    assert {(r.source_file, r.line_no, r.filled) for r in bad.collect()} == {("a.csv", 1, 14), ("b.csv", 3, 4), ("c.csv", 0, 2), ("c.csv", 1, 2)}
+
+
+@pytest.mark.parametrize("block", [64, 1000, 1 << 27])
+def test_line_numbers_over_blocks(spark, tmp_path, block):
+    texts = {"a.txt": [f"line {i}" * (i % 5) for i in range(300)], "b.txt": ["", "", "x" * 500, "", "y"], "c.txt": ["only"]}
+    for name, some in texts.items():
+        (tmp_path / name).write_text("\n".join(some) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        got = lines.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(r.source_file, r.line_no): r.value for r in got} == {(n, i): t for n, some in texts.items() for i, t in enumerate(some)} and len(got) == 306
+    assert {(r.source_file, r.head.line_no, r.head.value) for r in got} == {("a.txt", 1, "line 1"), ("b.txt", 2, "x" * 500), ("c.txt", 0, "only")}
+    assert block > 1000 or len({(r.source_file, r.source_block) for r in got}) > 3
+
+
+CELL_LINES = ["", ",", "a,b", ',"",', '"a,b",c', '"a ""q"" b",', 'x"y",z', '"open,1', '"a"b"c,d', '"""",""""""', "\u00e9,\U0001f600", '"' + "a," * 5000 + '"' + ',"' + 'b""' * 3000 + '"']
+
+
+def test_cells_as_the_csv_module_splits_them(spark):
+    import csv
+
+    got = {r.v: r.c for r in spark.createDataFrame([(t,) for t in CELL_LINES], "v string").select("v", lines.cells(F.col("v")).alias("c")).collect()}
+    for t in CELL_LINES:
+        if t != '"open,1':
+            assert got[t] == (next(csv.reader([t])) if t else [""]), t
+    assert got['"open,1'] == ['"open', "1"]
+
+
+def test_first_and_last_row_of_the_files(spark, tmp_path):
+    def row(detail, lot, ticker="NSE:A-EQ", token="7"):
+        return ",".join(["1", detail, "0", lot, "0.05", "I", "", "", "", ticker, "10", "10", token, "A", *[""] * 7])
+
+    (tmp_path / "1.csv").write_text("\n".join([row("z", "9"), row("b", "5"), row("other", "1", "NSE:B-EQ")]))
+    (tmp_path / "2.csv").write_text("\n".join([row("a", "1"), row("m", "3")]))
+    rows = normalize.bundle(normalize.normalize_india(files.read_master(spark, str(tmp_path))[0]))
+    first = contracts.unique_contracts(contracts.dated(rows, "20260728"), contracts.FILE_ORDER)
+    assert {r.script: r.scriptDetails for r in first.collect()} == {"NSE:A-EQ": "z", "NSE:B-EQ": "other"}
+    template = spark.createDataFrame([("XNSE_NIFTY50_EQUITY", 0, "NSE:A-EQ"), ("XNSE_NIFTY50_EQUITY", 1, "NSE:C-EQ"), ("XNSE_NIFTY50_EQUITY", 2, "NSE:A-EQ")], "name string, ordinal int, value string")
+    got = baskets.resolve(["XNSE_NIFTY50_EQUITY"], template, rows, "20260728", contracts.FILE_ORDER).collect()
+    assert sorted((r.root_ordinal, r.scriptDetails) for r in got) == [(0, "m"), (2, "m")]
+    with pytest.raises(ValueError, match="no such basket"):
+        baskets.resolve(["NONE"], template, rows, "20260728", contracts.FILE_ORDER)
+
+
+def test_baskets_read_the_contracts_once(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(",".join(CELLS))
+    rows = normalize.bundle(normalize.normalize_india(files.read_master(spark, str(tmp_path))[0]))
+    template = spark.createDataFrame([("XNSE_NIFTY50_EQUITY", 0, "NSE:A-EQ")], "name string, ordinal int, value string")
+    plan = baskets.resolve([*baskets.BASKETS, *baskets.UNIONS], template, rows, "20260728", contracts.FILE_ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 4 and "CartesianProduct" not in plan
+
+
+def test_copied_files_are_the_same_bytes(spark, tmp_path):
+    import hashlib
+    import os
+
+    data = {"crlf.csv": b"\xef\xbb\xbfa,b\r\n1,2\r\n3,4", "empty.csv": b"", "below/x y%20.bin": bytes(range(256)) * 70_000, "one": b"\n"}
+    for name, raw in data.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(raw)
+    os.utime(tmp_path / "in" / "one", (1_700_000_000, 1_700_000_000))
+    for _ in range(2):  # again gives the same
+        got = {r.name: (r.length, r.sha256) for r in sinks.copy_files(spark, str(tmp_path / "in"), f"{tmp_path}/out").collect()}
+        assert got == {n: (len(raw), hashlib.sha256(raw).hexdigest()) for n, raw in data.items()}
+    assert {str(p.relative_to(tmp_path / "out")): p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file()} == data
+    assert os.stat(tmp_path / "out" / "one").st_mtime == 1_700_000_000
+
+
 def test_normalized_and_basket_files_by_name(spark, tmp_path):
     head = ",".join(CONTRACT_COLUMNS)
     line = 'a,EQ,EQUITY,100,1,5,,s,0,NA,7,R,R,0,,INR'

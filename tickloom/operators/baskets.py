@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.symbols import script_root
+from ..scratch import kept
 from ..sources.files import first_of
 from .contracts import is_future, is_live, is_option
 
@@ -74,28 +75,48 @@ def documents(rows: DataFrame, basket: str, script: str, order: list) -> DataFra
     return rows.groupBy(basket).agg(F.to_json(scripts).alias("scripts"))
 
 
-def resolve(basket: str, templates: DataFrame, contracts: DataFrame, as_of: str, order: list) -> DataFrame:
-    """The constituents of a basket with basket and root_ordinal or ordinal in front of the contract's columns.
+def wanted(templates: DataFrame, names: list) -> DataFrame:
+    """(basket, part, kind, exchange, sort, key, root_ordinal): what each basket of names asks of the contracts, by script or by root.
 
-    templates(name, ordinal, value) as read by read_lines; order is a total order of contracts.
+    A template line counts for every basket that reads it, and for every union of such a basket; a root counts at its first place.
     """
-    if basket in UNIONS:
-        parts = [resolve(b, templates, contracts, as_of, order).withColumn("part", F.lit(i)) for i, b in enumerate(UNIONS[basket])]
-        both = parts[0]
-        for p in parts[1:]:
-            both = both.unionByName(p)
-        return both.withColumn("basket", F.lit(basket))
-    if basket not in BASKETS:
-        raise ValueError(f"no such basket: {basket}")
-    exchange, kind, template, parser = BASKETS[basket]
-    lines = templates.where(F.col("name") == template).select("ordinal", F.col("value").alias("script"))
-    own = contracts.where(F.col("exchange") == exchange)
-    if kind == "by_script":
-        return last_by_script(lines, own, order).withColumnRenamed("ordinal", "root_ordinal").withColumn("basket", F.lit(basket)).select("basket", "root_ordinal", *contracts.columns)
-    live = own.where(is_live(F.col("expiration"), as_of) & (is_option() if kind == "chain" else is_future()))
-    rows = of_roots(roots(lines, script_root(F.col("script"), parser)), live, "underlying_root")
-    rows = nearest(rows, "root_ordinal", "expiration", order) if kind == "near" else chain(rows, "root_ordinal", "expiration", 2) if kind == "chain" else rows
-    return rows.withColumn("basket", F.lit(basket)).select("basket", "root_ordinal", *contracts.columns)
+    if unknown := [n for n in names if n not in BASKETS and n not in UNIONS]:
+        raise ValueError(f"no such basket: {', '.join(unknown)}")
+    asks = [(n, part, *BASKETS[b]) for n in names for part, b in enumerate(UNIONS.get(n, (n,)))]
+    parsers = {p for *_, p in asks}
+    rows = F.array(*[F.struct(F.lit(n).alias("basket"), F.lit(part).alias("part"), F.lit(e).alias("exchange"), F.lit(k).alias("kind"), F.lit(t).alias("name"), F.lit(p).alias("parser")) for n, part, e, k, t, p in asks])
+    each = templates.where(F.col("name").isin(sorted({a[4] for a in asks}))).withColumn("a", F.explode(F.filter(rows, lambda a: a["name"] == F.col("name"))))
+    root = F.coalesce(*[F.when(F.col("a.parser") == p, script_root(F.col("value"), p)) for p in sorted(p for p in parsers if p)], F.lit("")) if parsers - {None} else F.lit("")
+    kind = F.col("a.kind")
+    sort = F.when(kind == "by_script", "script").when(kind == "chain", "option").otherwise("future")
+    key = F.when(kind == "by_script", F.col("value")).otherwise(F.upper(root))
+    lines = each.select("a.basket", "a.part", kind.alias("kind"), "a.exchange", sort.alias("sort"), key.alias("key"), "ordinal").where("key <> ''")
+    of = ["basket", "part", "kind", "exchange", "sort", "key"]
+    first = lines.where("sort <> 'script'").groupBy(*of).agg(F.min("ordinal").alias("root_ordinal"))
+    return first.unionByName(lines.where("sort = 'script'").select(*of, F.col("ordinal").alias("root_ordinal")))
+
+
+def resolve(names: list, templates: DataFrame, contracts: DataFrame, as_of: str, order: list) -> DataFrame:
+    """The constituents of baskets: basket, part (of a union) and root_ordinal, then the contract's columns.
+
+    templates(name, ordinal, value) as read by read_lines; order is a total order of contracts. Contracts are read once: each stands under its
+    script and, if live, its root, and meets what is wanted in one join, whose rows are written by kind. The nearest and the last
+    of each key are then chosen with limits below the shuffle, so that a frequent root or script does not meet in one task.
+    """
+    live = is_live(F.col("expiration"), as_of)
+    sort = F.when(live & is_future(), "future").when(live & is_option(), "option")
+    under = F.array(F.struct(F.lit("script").alias("sort"), F.col("script").alias("key")), F.when(sort.isNotNull(), F.struct(sort.alias("sort"), F.upper("underlying_root").alias("key"))))
+    keyed = contracts.withColumn("_k", F.explode(F.array_compact(under))).select("_k.*", *contracts.columns)
+    met = kept(keyed.join(wanted(templates, names), ["exchange", "sort", "key"]).drop("sort"), "kind")
+    of, out = ["basket", "part", "root_ordinal", "key"], ["basket", "part", "root_ordinal", *contracts.columns]
+    found = [
+        first_of(met.where("kind = 'by_script'"), of, [F.desc(c) for c in order]), first_of(met.where("kind = 'near'"), of, ["expiration", *order]),
+        met.where("kind = 'all'"), met.where("kind = 'chain'").withColumn("_n", F.dense_rank().over(Window.partitionBy(*of).orderBy("expiration"))).where("_n <= 2"),
+    ]
+    rows = found[0].select(out)
+    for more in found[1:]:
+        rows = rows.union(more.select(out))
+    return rows
 
 
 def in_order(rows: DataFrame) -> DataFrame:

@@ -8,10 +8,14 @@ from ..schema import CONTRACT_COLUMNS
 from ..sources.files import first_of
 
 
+#: The order of the day's files and of the rows in them: by exchange, by place in its bundle, by file, by line.
+FILE_ORDER = ["exchange", "source_ord", "source_path", "ordinal"]
+
+
 def dated(rows: DataFrame, as_of: str) -> DataFrame:
     """date and exchange in front of the contract columns, for rows that have a token and an exchange."""
     keep = F.col("scriptToken").isNotNull() & (F.col("scriptToken").cast("string") != "") & (F.coalesce("exchange", F.lit("")) != "")
-    extra = [c for c in ("source_ord", "ordinal") if c in rows.columns]
+    extra = [c for c in FILE_ORDER[1:] if c in rows.columns]
     return rows.where(keep).select(F.lit(as_of).alias("date"), "exchange", *CONTRACT_COLUMNS, *extra)
 
 

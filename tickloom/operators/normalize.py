@@ -20,7 +20,7 @@ def contract(df: DataFrame, columns: dict, keep: list) -> DataFrame:
 
 
 def normalize_india(master: DataFrame) -> DataFrame:
-    """market, ordinal and the contract columns of master rows that have a script and a known market."""
+    """market, the rows' places in their files and the contract columns of master rows that have a script and a known market."""
     name = codes.instrument_name(F.col("exInstType"))
     script = _text("symTicker")
     session = sessions.with_pre_open(sessions.ist_sessions(F.col("tradingSession")), codes.segment_name(F.col("segment")))
@@ -31,7 +31,7 @@ def normalize_india(master: DataFrame) -> DataFrame:
         "script": script, "scriptToken": F.trim(F.col("exToken")).try_cast("long"), "underlying_root": _text("exSymName"), "underlying": _text("exSymName"), "strike": numbers.positive_price(F.col("strikePrice")),
         "optionType": codes.call_or_put(F.col("optType")), "currency": F.lit("INR"),
     }
-    return contract(df, columns, ["market", *[c for c in ("ordinal",) if c in master.columns]])
+    return contract(df, columns, ["market", *[c for c in ("source_path", "ordinal") if c in master.columns]])
 
 
 def bundle(rows: DataFrame, bundles: dict = BUNDLES) -> DataFrame:

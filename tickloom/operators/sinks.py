@@ -1,8 +1,18 @@
 """Writes that can be repeated: partitions are replaced as a whole, so a second run leaves the same data."""
 
-from pyspark.sql import DataFrame
+import re
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import discard, kept
+
+#: Bytes of a file that a task holds while it copies.
+COPY_BYTES = 8 << 20
+#: Tasks that copy, at most.
+COPY_TASKS = 2000
+
 
 def write_partitions(df: DataFrame, path: str, by: list, sort: list | None = None, kind: str = "parquet") -> None:
     """Replace the partitions of `by` that df has rows for, others stay; an empty df leaves all as it is."""
@@ -11,6 +21,57 @@ def write_partitions(df: DataFrame, path: str, by: list, sort: list | None = Non
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(kind).save(path)
 
 
+def copy_files(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """(name, length, sha256) of the files of a folder and those below it, copied byte by byte under the same names into another folder.
+
+    Spark lists the files, empty ones too, and deals out their names; tasks stream them from store to store in pieces, which no row has to
+    hold, into a hidden folder of the target and move each into place when it is whole, so that a task may run twice. Stores are those
+    that Arrow opens (local or mounted folders, HDFS, S3, GCS); on local ones the time of the last change stays. Files of the target
+    that the source lacks stay.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).inputFiles()
+    found = spark.createDataFrame([(n,) for n in names], "path string").repartition(max(1, min(len(names), COPY_TASKS)))
+    plain, hidden = (lambda p: re.sub(r"^[a-z0-9]+:/+", "/", p).rstrip("/")), f"_copying-{uuid4().hex}"
+    root, onto = plain(source), target.rstrip("/")
+
+    def run(batches):
+        import os
+        from hashlib import sha256
+        from urllib.parse import unquote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def opened(uri):
+            return (fs.LocalFileSystem(), plain(uri)) if re.match(r"(file:)?/", uri) else fs.FileSystem.from_uri(uri)
+
+        for batch in batches:
+            rows = []
+            for path in map(unquote, batch.column(0).to_pylist()):
+                name = plain(path)[len(root) + 1 :] or os.path.basename(path)
+                here, at = opened(path)
+                there, made = opened(f"{onto}/{hidden}/{uuid4().hex}")
+                _, final = opened(f"{onto}/{name}")
+                there.create_dir(os.path.dirname(made))
+                there.create_dir(os.path.dirname(final))
+                digest, n = sha256(), 0
+                with here.open_input_stream(at) as src, there.open_output_stream(made) as dst:
+                    while piece := src.read(COPY_BYTES):
+                        dst.write(piece)
+                        digest.update(piece)
+                        n += len(piece)
+                if isinstance(there, fs.LocalFileSystem):
+                    changed = here.get_file_info(at).mtime_ns
+                    os.utime(made, ns=(changed, changed))
+                there.move(made, final)
+                rows.append((name, n, digest.hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)], ["name", "length", "sha256"])
+
+    done = kept(found.mapInArrow(run, "name string, length long, sha256 string"))
+    discard(spark, f"{onto}/{hidden}")
+    return done
+
+
 def write_basket(df: DataFrame, path: str, date: str, basket: str) -> None:
     """One basket of a day as CSV; an empty result replaces an older one too."""
     write_csv(df.drop("date", "basket"), f"{path.rstrip('/')}/date={date}/basket={basket}")
@@ -69,8 +130,6 @@ def dated_schema(day: str) -> str:
 
 def safe_identifier(name: str) -> str:
     """A name of letters, digits and underscores, not led by a digit."""
-    import re
-
     out = re.sub(r"[^A-Za-z0-9_]", "_", name.strip()).lower()
     if not out:
         raise ValueError("an empty name")

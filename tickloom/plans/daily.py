@@ -19,6 +19,11 @@ LIVE = "19980101"
 C = F.col
 
 
+#: The order of the master's lines, over files whose names rise.
+LANDED = ["l_suppkey", "l_extendedprice", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"]
+_LANDED = ", ".join(LANDED)
+
+
 def landed_master(spark: SparkSession, sf_dir: str) -> str:
     """The raw master as a CSV folder without a header."""
     m, k = C("l_linenumber"), C("l_orderkey") % 8
@@ -35,44 +40,44 @@ def landed_master(spark: SparkSession, sf_dir: str) -> str:
         "exToken": F.concat(F.lit(" "), C("l_partkey")), "exSymName": root, "strikePrice": F.when(kind == "O", C("l_extendedprice").cast("decimal(12,2)").cast("string")).otherwise("-1.0"), "optType": F.when(kind == "O", F.when(C("l_returnflag") == "R", "CE").otherwise("pe ")).otherwise("XX"),
     }
     path = f"{scratch_dir(spark)}/master"
-    table(spark, sf_dir, "lineitem").select(*[values.get(c, F.lit("")).alias(c) for c in MASTER_COLUMNS]).write.option("escape", '"').csv(path)
+    rows = table(spark, sf_dir, "lineitem").orderBy(*LANDED)
+    rows.select(*[values.get(c, F.lit("")).alias(c) for c in MASTER_COLUMNS]).write.option("escape", '"').csv(path)
     return path
 
 
 def india(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = files.read_master(spark, landed_master(spark, sf_dir))
-    return normalize.normalize_india(good.drop("ordinal"))
+    return normalize.normalize_india(good)
 
 
-#: A total order of normalized rows; those that are equal in it are equal.
-ORDER = ["source_ord", *CONTRACT_COLUMNS]
 _COLS = ", ".join(CONTRACT_COLUMNS)
 
 
 def day_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day's contracts: bundled, dated, the first of each token and script."""
-    return contracts.unique_contracts(contracts.dated(normalize.bundle(india(spark, sf_dir)), DAY), ORDER)
+    """The day's contracts: bundled, dated, the first of each token and script in the files' order."""
+    return contracts.unique_contracts(contracts.dated(normalize.bundle(india(spark, sf_dir)), DAY), contracts.FILE_ORDER)
 
 
-_INDIA = """r AS (SELECT *, 'P' || l_partkey AS root, CASE WHEN l_linenumber IN (3, 4) THEN 'F' WHEN l_linenumber IN (5, 6) THEN 'O' ELSE 'E' END AS kind,
+_INDIA = f"""r AS (SELECT *, 'P' || l_partkey AS root, CASE WHEN l_linenumber IN (3, 4) THEN 'F' WHEN l_linenumber IN (5, 6) THEN 'O' ELSE 'E' END AS kind,
   ['NSE', 'NSE', 'NSE', 'NSE', 'BSE', 'BSE', 'MCX', 'XXX'][1 + l_orderkey % 8] AS ex FROM lineitem WHERE l_quantity <> 1),
 n0 AS (SELECT *, CASE ex WHEN 'NSE' THEN CASE kind WHEN 'E' THEN 'XNSE' ELSE 'XNFO' END WHEN 'BSE' THEN CASE kind WHEN 'E' THEN 'XBSE' ELSE 'XBFO' END WHEN 'MCX' THEN 'XMCX' END AS market,
   ex || ':' || root || CASE kind WHEN 'E' THEN '-EQ' ELSE strftime(l_shipdate, '%y') || upper(strftime(l_shipdate, '%b')) || CASE kind WHEN 'F' THEN 'FUT' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) || CASE l_returnflag WHEN 'R' THEN 'CE' ELSE 'PE' END END END AS script FROM r),
-n AS (SELECT market, CASE WHEN l_quantity % 2 = 0 THEN script ELSE 'Details ' || root || ', "' || l_linenumber || '"' END AS scriptDetails,
+n AS (SELECT {_LANDED}, market, CASE WHEN l_quantity % 2 = 0 THEN script ELSE 'Details ' || root || ', "' || l_linenumber || '"' END AS scriptDetails,
   CASE WHEN l_linenumber = 2 THEN 'UNKNOWN_99' WHEN kind = 'E' THEN 'EQ' WHEN kind = 'F' THEN CASE ex WHEN 'MCX' THEN 'FUTCOM' ELSE 'FUTSTK' END ELSE CASE ex WHEN 'MCX' THEN 'OPTFUT' ELSE 'OPTSTK' END END AS scriptInstrumentType,
   CASE WHEN l_linenumber = 2 THEN 'UNKNOWN_99' WHEN kind = 'E' THEN 'EQUITY' WHEN kind = 'F' THEN 'FUTURE' ELSE 'OPTION' END AS scriptInstrumentType2, CAST(100 AS BIGINT) AS multiplier,
   CASE WHEN l_linenumber = 7 THEN 1 ELSE CAST(l_quantity AS BIGINT) END AS lotSize, CAST(CASE WHEN l_linenumber = 1 THEN 0 ELSE 5 END AS BIGINT) AS tickSize, 'INE' || l_suppkey AS ISIN,
   CASE WHEN kind = 'E' THEN CASE WHEN ex = 'MCX' THEN '' ELSE '0330-0338|' END || '0345-1000|1245-1345' WHEN kind = 'F' THEN '0345-1000' WHEN l_linenumber = 6 THEN '' ELSE '0330-1800' END AS tradingSessionUTC,
   CASE WHEN kind = 'E' THEN 0 ELSE epoch_us(l_shipdate) * 1000 END AS expiration, script, l_partkey AS scriptToken, root AS underlying_root, root AS underlying,
   CASE WHEN kind = 'O' THEN CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) ELSE 0 END AS strike, CASE WHEN kind <> 'O' THEN '' WHEN l_returnflag = 'R' THEN 'CALL' ELSE 'PUT' END AS optionType, 'INR' AS currency FROM n0 WHERE market IS NOT NULL)"""
-_DAY = f"""{_INDIA}, d AS (SELECT CASE WHEN market IN ('XNSE', 'XNFO') THEN 'XNSE' WHEN market = 'XMCX' THEN 'XIMC' ELSE 'XBOM' END AS exchange, CASE WHEN market IN ('XNFO', 'XBFO') THEN 1 ELSE 0 END AS source_ord, * EXCLUDE (market) FROM n
-  QUALIFY row_number() OVER (PARTITION BY scriptToken, script ORDER BY {', '.join(['source_ord', *CONTRACT_COLUMNS])}) = 1)"""
+_ORDER = f"exchange, source_ord, {_LANDED}"
+_DAY = f"""{_INDIA}, e AS (SELECT CASE WHEN market IN ('XNSE', 'XNFO') THEN 'XNSE' WHEN market = 'XMCX' THEN 'XIMC' ELSE 'XBOM' END AS exchange, CASE WHEN market IN ('XNFO', 'XBFO') THEN 1 ELSE 0 END AS source_ord, * EXCLUDE (market) FROM n),
+d AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY scriptToken, script ORDER BY {_ORDER}) = 1)"""
 
 
 @query(f"WITH {_INDIA} SELECT market, {_COLS} FROM n")
 def normalize_india(spark, sf_dir):
     """Rows of a raw master file in the contract's columns, of those with a script and a known market."""
-    return india(spark, sf_dir)
+    return india(spark, sf_dir).select("market", *CONTRACT_COLUMNS)
 
 
 @query(f"WITH {_DAY} SELECT '{DAY}' AS date, exchange, {_COLS} FROM d")
@@ -90,6 +95,43 @@ def contracts_export(spark, sf_dir):
     return files.read_normalized(spark, path).select("exchange", *CONTRACT_COLUMNS)
 
 
+#: Headers of landed files by form: none, names by which columns were known, and this library's names in another order among others.
+_OLDER = "FyToken,Symbol,InstrumentType,SymbolTicker,exchange,segment,ShortSym"
+_OTHER = '"ISIN",note,exsymname,symTicker,FYTOKEN,symDetails,symTicker'
+
+
+def landed_forms(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of twelve files of four forms: without a header, with an older one, with a byte order mark, CRLF and quotes, and with a blank line in front; some lines are bad."""
+    k = C("p_partkey")
+    rows = table(spark, sf_dir, "part").select(k, (k % 4).alias("form"), (F.floor(k / 4) % 3).alias("batch"), F.concat(F.lit("NSE:P"), k, F.lit("-EQ")).alias("ticker"))
+    fixed = lambda n: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(i == 0, k.cast("string")).when(i == 1, F.concat(F.lit("name "), k)).when(i == 9, C("ticker")).when(i == 13, F.concat(F.lit("P"), k)).otherwise("")), ",")
+    older = F.concat_ws(",", k, F.concat(F.lit("name "), k), F.lit("0"), C("ticker"), F.lit("10"), F.lit("10"), F.concat(F.lit("P"), k), F.when(k % 20 == 1, "more"))
+    other = F.concat(F.lit("INE,x,P"), k, F.lit(",first,"), k, F.lit(',"name ""A, '), k, F.lit('""",'), C("ticker"), F.lit("\r"))
+    line = F.when(C("form") == 0, fixed(21)).when(C("form") == 1, older).when(C("form") == 2, other).when(k % 16 == 3, fixed(10)).when(k % 16 == 7, fixed(22)).otherwise(fixed(21))
+    head = F.when(C("form") == 1, _OLDER).when(C("form") == 2, f"\ufeff{_OTHER}\r").when(C("form") == 3, "  ")
+    heads = rows.select("form", "batch").distinct().where("form > 0").select("form", "batch", F.lit(-1).cast("long").alias("p_partkey"), head.alias("line"))
+    path = f"{scratch_dir(spark)}/forms"
+    every = heads.unionByName(rows.select("form", "batch", "p_partkey", line.alias("line"))).repartition("form", "batch").sortWithinPartitions("form", "batch", "p_partkey")
+    every.select("form", "batch", "line").write.partitionBy("form", "batch").text(path)
+    return path
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_partkey % 4 AS form, (p_partkey // 4) % 3 AS batch, row_number() OVER (PARTITION BY p_partkey % 4, (p_partkey // 4) % 3 ORDER BY p_partkey) - (p_partkey % 4 = 0)::INT AS ordinal FROM part),
+b AS (SELECT *, CASE WHEN form = 1 AND k % 20 = 1 THEN 8 WHEN k % 16 = 3 THEN 10 WHEN k % 16 = 7 THEN 22 END AS n FROM p)
+SELECT form::INT AS form, batch::INT AS batch, ordinal::BIGINT AS ordinal, CASE WHEN n IS NULL THEN k::VARCHAR END AS fyToken, CASE WHEN n IS NULL THEN CASE form WHEN 2 THEN 'name "A, ' || k || '"' ELSE 'name ' || k END END AS symDetails,
+  CASE WHEN n IS NULL THEN 'NSE:P' || k || '-EQ' END AS symTicker, CASE WHEN n IS NULL THEN 'P' || k END AS exSymName, CASE WHEN n IS NULL AND form = 2 THEN 'INE' END AS isin, CASE WHEN n = 8 THEN 8 WHEN n = 10 THEN 3 WHEN n = 22 THEN 4 END AS filled,
+  CASE n WHEN 8 THEN concat_ws(',', k, 'name ' || k, '0', 'NSE:P' || k || '-EQ', '10', '10', 'P' || k, 'more') WHEN 10 THEN k || ',name ' || k || ',,,,,,,,NSE:P' || k || '-EQ' WHEN 22 THEN k || ',name ' || k || ',,,,,,,,NSE:P' || k || '-EQ,,,,P' || k || ',,,,,,,,' END AS record
+FROM b""")
+def mixed_masters(spark, sf_dir):
+    """A folder of raw files of several forms: each row with its file and line, and each bad line with its own."""
+    good, bad = files.read_master(spark, landed_forms(spark, sf_dir))
+    where = [F.regexp_extract("source_path", rf"/{c}=(\d+)/", 1).cast("int").alias(c) for c in ("form", "batch")]
+    cells = ["fyToken", "symDetails", "symTicker", "exSymName", "isin"]
+    both = good.select(*where, "ordinal", *cells).unionByName(bad.select(*where, C("line_no").alias("ordinal"), "filled", "record"), allowMissingColumns=True)
+    return both.select("form", "batch", "ordinal", *cells, "filled", "record")
+
+
 @query("""
 WITH l AS (SELECT p_partkey, p_partkey % 3 AS k, array_to_string(list_transform(range(CASE p_partkey % 3 WHEN 0 THEN 21 WHEN 1 THEN 22 ELSE 10 END), lambda i: p_partkey || 'c' || i), ',') AS record FROM part)
 SELECT record, 'wrong number of cells' AS reason FROM l WHERE k <> 0""")
@@ -123,26 +165,21 @@ def landed_templates(spark: SparkSession, sf_dir: str) -> str:
 
 
 def all_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 15 baskets of the day, from one table of contracts and one of templates."""
-    own = f"{scratch_dir(spark)}/contracts"
-    day_contracts(spark, sf_dir).write.parquet(own)
-    rows, lists = spark.read.parquet(own), files.read_lines(spark, landed_templates(spark, sf_dir))
-    parts = [baskets.resolve(b, lists, rows, LIVE, ORDER).select("basket", "root_ordinal", *CONTRACT_COLUMNS, "exchange") for b in [*baskets.BASKETS, *baskets.UNIONS]]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return both
+    """The 15 baskets of the day, from one reading of the normalized rows and one of the templates; a row that repeats stands in a basket as often."""
+    lists = files.read_lines(spark, landed_templates(spark, sf_dir))
+    return baskets.resolve([*baskets.BASKETS, *baskets.UNIONS], lists, normalize.bundle(india(spark, sf_dir)), LIVE, contracts.FILE_ORDER)
 
 
 _NAMES = ", ".join(f"('{n}', '{p}', '{s}', {i})" for i, (n, p, s) in enumerate(TEMPLATES))
 _BASKETS = f"""{_DAY}, t0 AS (SELECT name, p_partkey, prefix || 'P' || p_partkey || suffix AS script, 'P' || p_partkey AS root, 1 + row_number() OVER (PARTITION BY name ORDER BY p_partkey) AS ordinal
   FROM part JOIN (VALUES {_NAMES}) AS v(name, prefix, suffix, i) ON i = p_size % {len(TEMPLATES)}),
 t AS (SELECT name, script, root, ordinal FROM t0 UNION ALL SELECT name, arg_min(script, ordinal), arg_min(root, ordinal), max(ordinal) + 1 FROM t0 GROUP BY 1),
-by_script AS (SELECT t.name AS basket, t.ordinal AS root_ordinal, d.* FROM t JOIN d USING (script) WHERE d.exchange = 'XNSE' AND t.name LIKE '%EQUITY'),
+by_script AS (SELECT t.name AS basket, t.ordinal AS root_ordinal, e.* FROM t JOIN e USING (script) WHERE e.exchange = 'XNSE' AND t.name LIKE '%EQUITY'
+  QUALIFY row_number() OVER (PARTITION BY t.name, t.ordinal ORDER BY {', '.join(f'{c} DESC' for c in _ORDER.split(', '))}) = 1),
 roots AS (SELECT name, root, min(ordinal) AS root_ordinal FROM t GROUP BY 1, 2),
-live AS (SELECT * FROM d WHERE expiration >= 883612800000000000),
+live AS (SELECT * FROM e WHERE expiration >= 883612800000000000),
 futures AS (SELECT name, root_ordinal, l.* FROM roots JOIN live l ON l.underlying_root = root WHERE scriptInstrumentType LIKE 'FUT%'),
-near AS (SELECT * FROM futures QUALIFY row_number() OVER (PARTITION BY name, exchange, root_ordinal ORDER BY expiration, source_ord, {_COLS}) = 1),
+near AS (SELECT * FROM futures QUALIFY row_number() OVER (PARTITION BY name, exchange, root_ordinal ORDER BY expiration, {_ORDER}) = 1),
 chain AS (SELECT name, root_ordinal, l.* FROM roots JOIN live l ON l.underlying_root = root WHERE exchange = 'XIMC' AND scriptInstrumentType LIKE 'OPT%' QUALIFY dense_rank() OVER (PARTITION BY name, root_ordinal ORDER BY expiration) <= 2),
 index_parts AS (SELECT * FROM near WHERE name = 'XNSE_INDEX_FUTURES_NEAR' AND exchange = 'XNSE' UNION ALL SELECT * FROM near WHERE name = 'XBOM_INDEX_FUTURES' AND exchange = 'XBOM' UNION ALL SELECT * FROM futures WHERE name = 'XIMC_FUTURES_ALL' AND exchange = 'XIMC'),
 b AS (SELECT * FROM by_script UNION ALL SELECT 'XNSE_NIFTYFNO_FUTURES_NEAR', * EXCLUDE (name) FROM near WHERE name = 'XNSE_NIFTYFNO_EQUITY' AND exchange = 'XNSE' UNION ALL SELECT 'XNSE_NIFTYFNO_FUTURES_ALL', * EXCLUDE (name) FROM futures WHERE name = 'XNSE_NIFTYFNO_EQUITY' AND exchange = 'XNSE'
@@ -262,10 +299,23 @@ def exchange_files(spark, sf_dir):
     path = scratch_dir(spark)
     rows = table(spark, sf_dir, "part").select(C("p_size").alias("StrkPric"), F.concat("p_brand", F.lit(', "'), "p_type", F.lit('"')).alias("TckrSymb"), C("p_partkey").alias("FinInstrmId"), F.lit("x").alias("Other"))
     rows.write.options(header=True, escape='"').csv(f"{path}/raw")
-    files.pass_through(spark, f"{path}/raw", f"{path}/copy")
+    sinks.copy_files(spark, f"{path}/raw", f"{path}/copy")
     return files.read_exchange_file(spark, f"{path}/copy").select("FinInstrmId", "TckrSymb", "StrkPric", "ISIN")
 
 
+@query("""
+WITH f AS (SELECT p_brand, chr(65279) || string_agg(p_partkey || ',"' || p_type || '"' || chr(13) || chr(10), '' ORDER BY p_partkey) || chr(10) AS v FROM part GROUP BY 1)
+SELECT p_brand AS name, strlen(v)::BIGINT AS length, sha256(v) AS sha256 FROM f""")
+def copied_files(spark, sf_dir):
+    """Files with byte order marks and CRLF copied byte by byte, in folders by name: their lengths and digests as read again."""
+    path, line = scratch_dir(spark), F.concat("p_partkey", F.lit(',"'), "p_type", F.lit('"\r\n'))
+    rows = table(spark, sf_dir, "part").groupBy(C("p_brand").alias("name")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("line")))).alias("v"))
+    rows.select("name", F.concat(F.lit("\ufeff"), F.array_join(F.transform("v", lambda x: x["line"]), ""))).write.partitionBy("name").text(f"{path}/raw")
+    sinks.copy_files(spark, f"{path}/raw", f"{path}/copy")
+    found = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.txt").load(f"{path}/copy")
+    return found.select(F.url_decode(F.regexp_extract("path", "/name=([^/]*)/", 1)).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+
+
 @query("""
 WITH s AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '.P' || p_partkey WHEN 1 THEN 'P' || p_partkey || '.FUT' WHEN 2 THEN 'P' || p_partkey || '.OPT' WHEN 3 THEN '#P' || p_partkey ELSE 'P' || p_partkey END AS s FROM part)
 SELECT 'xcme' AS venue, CASE WHEN p_partkey % 5 < 3 THEN s ELSE s || '.OPT' END AS symbol, 'parent' AS stype_in FROM s UNION ALL SELECT 'xnas', s, 'raw_symbol' FROM s UNION ALL SELECT 'xcme all', 'ALL_SYMBOLS', 'raw_symbol'""")

@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _watched: list = []
 
@@ -23,6 +23,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+def kept(df: DataFrame, *by: str) -> DataFrame:
+    """df as read again from a table in a scratch folder, in folders of `by` if given: later steps start from the same rows, whatever is computed anew."""
+    path = scratch_dir(df.sparkSession)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def watch():
     """The folders that scratch_dir gives out inside, as a list."""

@@ -6,18 +6,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.symbols import parent_symbol, side_letter
 from ..schema import BARS, CONTRACT_COLUMNS, CONTRACT_FIELDS, DEFINITIONS, EXCHANGE_FILE_COLUMNS, MAPPING_COLUMNS, MASTER_ALIASES, MASTER_COLUMNS, texts
+from .lines import by_header, numbered_lines
 
 CORRUPT = "_corrupt"
 #: Fixed value: stands for all symbols of a venue in a request.
 ALL_SYMBOLS = "ALL_SYMBOLS"
 
 
-def canonical_header(name: str) -> str:
-    name = name.strip().lstrip("﻿")
-    by_lower = {c.lower(): c for c in MASTER_COLUMNS}
-    return MASTER_ALIASES.get(name.lower()) or by_lower.get(name.lower(), name)
-
-
 def _csv(spark: SparkSession, path, columns: list, header: bool) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine with reason and the number of filled cells); a row of too many or too few cells is bad."""
     schema = StructType([*texts(columns).fields, StructField(CORRUPT, StringType())])
@@ -33,14 +28,12 @@ def _csv(spark: SparkSession, path, columns: list, header: bool) -> tuple[DataFr
     return good.where(filled), bad
 
 
-def read_master(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The Indian master: the first line is a header if any of its cells is an older header name, else rows have the 21 fixed columns."""
-    first = spark.read.text(path).limit(1).collect()
-    cells = [c.strip().strip('"') for c in first[0].value.lstrip("﻿").split(",")] if first else []
-    header = any(c.lower() in MASTER_ALIASES for c in cells)
-    good, bad = _csv(spark, path, [canonical_header(c) for c in cells] if header else MASTER_COLUMNS, header)
-    missing = {c: F.lit(None).cast("string") for c in MASTER_COLUMNS if c not in good.columns}
-    return good.withColumns(missing).select(*MASTER_COLUMNS, "source_file", "ordinal") if missing or header else good, bad
+def read_master(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) of the Indian master's files, in the 21 columns; each file may have an older header, this one's names, or none.
+
+    ordinal is a row's line in its file; source_path and ordinal order the rows as the files have them.
+    """
+    return by_header(numbered_lines(spark, path), MASTER_COLUMNS, MASTER_ALIASES)
 
 
 def read_mappings(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
@@ -133,11 +126,6 @@ def default_stype_in(venue: str, all_symbols: bool = False) -> str:
     return "parent" if venue.lower() == "xcbo" or (venue.lower() == "xcme" and not all_symbols) else "raw_symbol"
 
 
-def pass_through(spark: SparkSession, source: str, target: str) -> None:
-    """The lines of text files as they are, to another folder."""
-    spark.read.text(source).write.mode("overwrite").text(target)
-
-
 def read_resolved(spark: SparkSession, path, mapping: str = "map<string,array<struct<s:string,d0:string,d1:string>>>") -> DataFrame:
     """Symbol resolutions as JSON, {symbol: [{s, d0, d1}]}, flattened to mapping rows."""
     each = spark.read.text(path, wholetext=True).select(F.from_json("value", mapping).alias("m")).select(F.explode("m").alias("symbol", "spans")).select("symbol", F.explode("spans").alias("x"))
