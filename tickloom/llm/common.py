@@ -238,16 +238,28 @@ def may_hold(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ok
 
 
-_memo: dict = {}
+#: Things that a worker keeps at once; a further one takes the place of the oldest.
+KEPT = 2
+
+
+def _memo() -> dict:
+    """One dict for each Python process. This package travels with the tasks by value, so its own globals are new in each of them; sys.modules is not."""
+    import sys
+    from types import ModuleType
+
+    return sys.modules.setdefault("_tickloom_worker", ModuleType("_tickloom_worker")).__dict__.setdefault("memo", {})
 
 
 def process_memo(name: str, make):
     """What make() gave at the first call in this Python worker; later tasks of the worker find it again."""
-    if name not in _memo:
-        _memo[name] = make()
-    return _memo[name]
+    memo = _memo()
+    if name not in memo:
+        while len(memo) >= KEPT:
+            del memo[next(iter(memo))]
+        memo[name] = make()
+    return memo[name]
 
 
 def drop_memos() -> None:
     """Free what earlier tasks of this Python worker kept, before work that needs room of its own."""
-    _memo.clear()
+    _memo().clear()
