@@ -33,5 +33,13 @@ def lot_size(x: Column) -> Column:
     return F.coalesce(to_long(x), F.lit(1).cast("long"))
 
 
+def cell_error(x: Column, scale: int | None = None) -> Column:
+    """Why a cell gives no number, or with scale no price: null where it gives one, and where it is blank."""
+    s, value = F.trim(F.coalesce(x.cast("string"), F.lit(""))), to_double(x)
+    whole = F.rint(value * scale) if scale else value
+    endless = F.lower(s).rlike("^[+-]?(nan|inf|infinity)$")
+    return F.when(s == "", None).when(endless, "not finite").when(value.isNull(), "no number").when(whole.try_cast("long").isNull(), "out of range")
+
+
 def null_if_nan(x: Column) -> Column:
     return F.when(~F.isnan(x), x)

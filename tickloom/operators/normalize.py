@@ -34,6 +34,20 @@ def normalize_india(master: DataFrame) -> DataFrame:
     return contract(df, columns, ["market", *[c for c in ("source_path", "ordinal") if c in master.columns]])
 
 
+#: Number cells of the Indian master, with the scale of those that are prices.
+NUMBER_CELLS = {"minLotSize": None, "tickSize": numbers.INDIA_SCALE, "expiryDate": None, "exToken": None, "strikePrice": numbers.INDIA_SCALE}
+
+
+def cell_errors(master: DataFrame, cells: dict = NUMBER_CELLS) -> DataFrame:
+    """(source_path, ordinal, fyToken, errors) of rows with cells that normalize_india takes for nothing: errors has each one's column, raw text and reason.
+
+    The rows stay in the normalized table, with 0, 1 or null there, as the feed's users expect; this is what tells such a value from a given one.
+    """
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("raw"), numbers.cell_error(F.col(c), scale).alias("reason")) for c, scale in cells.items()])
+    bad = master.withColumn("errors", F.filter(each, lambda e: e["reason"].isNotNull())).where(F.size("errors") > 0)
+    return bad.select(*[c for c in ("source_path", "ordinal", "fyToken") if c in master.columns], "errors")
+
+
 def bundle(rows: DataFrame, bundles: dict = BUNDLES) -> DataFrame:
     """exchange and source_ord in front: the bundle of each row's market and its place there; markets of no bundle go."""
     place = {m: (b, i) for b, ms in bundles.items() for i, m in enumerate(ms)}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expiry, symbols
-from ..operators import bars, baskets, contracts, normalize, sinks
+from ..operators import bars, baskets, contracts, normalize, sinks, store
 from ..schema import BASKET_COLUMNS, CONTRACT_COLUMNS, MASTER_COLUMNS
 from ..scratch import scratch_dir
 from ..sources import files
@@ -91,7 +91,7 @@ def contracts_export(spark, sf_dir):
     """Valid contracts written as CSV by exchange, and read back with their types."""
     valid, _ = normalize.split_invalid(day_contracts(spark, sf_dir))
     path = f"{scratch_dir(spark)}/normalized"
-    sinks.write_partitions(valid.select("exchange", *CONTRACT_COLUMNS), path, ["exchange"], ["script"], kind="csv")
+    sinks.write_partitions(valid.select("exchange", *CONTRACT_COLUMNS), path, ["exchange"], ["script"], kind="csv", every=[(b,) for b in normalize.BUNDLES])
     return files.read_normalized(spark, path).select("exchange", *CONTRACT_COLUMNS)
 
 
@@ -132,6 +132,27 @@ def mixed_masters(spark, sf_dir):
     return both.select("form", "batch", "ordinal", *cells, "filled", "record")
 
 
+_BAD = ["", "12", " 7.9 ", "nan", "-Inf", "1e30", "1.5d", "0x1F", "+.5", "9223372036854775000", "12,5", "4e16"]
+_REASONS = {"nan": "not finite", "-Inf": "not finite", "1e30": "out of range", "1.5d": "no number", "0x1F": "no number", "12,5": "no number"}
+
+
+@query(f"""
+WITH v AS (SELECT {_BAD} AS texts, MAP {{{', '.join(f"'{k}': '{v}'" for k, v in _REASONS.items())}}} AS why),
+o AS (SELECT o_orderkey AS k, o_custkey AS c, texts, why, texts[1 + o_orderkey % 12] AS lot, texts[1 + o_custkey % 12] AS tick, texts[1 + (o_orderkey // 12) % 12] AS strike, texts[1 + (o_custkey // 12) % 12] AS token FROM orders, v),
+e AS (SELECT k, 'minLotSize' AS "column", lot AS raw, why[lot] AS reason FROM o UNION ALL SELECT k, 'tickSize', tick, CASE WHEN tick = '9223372036854775000' THEN 'out of range' ELSE why[tick] END FROM o
+  UNION ALL SELECT k, 'strikePrice', strike, CASE WHEN strike = '9223372036854775000' THEN 'out of range' ELSE why[strike] END FROM o UNION ALL SELECT k, 'exToken', token, why[token] FROM o)
+SELECT k::VARCHAR AS fyToken, "column", raw, reason FROM e WHERE reason IS NOT NULL""")
+def master_cell_errors(spark, sf_dir):
+    """Cells of a raw master that are no numbers: column, text and reason of each."""
+    text = lambda k: F.element_at(F.array(*map(F.lit, _BAD)), (1 + k % len(_BAD)).cast("int"))
+    k, c = C("o_orderkey"), C("o_custkey")
+    values = {"fyToken": k.cast("string"), "minLotSize": text(k), "tickSize": text(c), "strikePrice": text(F.floor(k / 12)), "exToken": text(F.floor(c / 12))}
+    path = f"{scratch_dir(spark)}/cells"
+    table(spark, sf_dir, "orders").select(*[values.get(x, F.lit("")).alias(x) for x in MASTER_COLUMNS]).write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    bad = normalize.cell_errors(files.read_master(spark, path)[0])
+    return bad.select("fyToken", F.inline("errors"))
+
+
 @query("""
 WITH l AS (SELECT p_partkey, p_partkey % 3 AS k, array_to_string(list_transform(range(CASE p_partkey % 3 WHEN 0 THEN 21 WHEN 1 THEN 22 ELSE 10 END), lambda i: p_partkey || 'c' || i), ',') AS record FROM part)
 SELECT record, 'wrong number of cells' AS reason FROM l WHERE k <> 0""")
@@ -293,6 +314,28 @@ def mapping_stream(spark, sf_dir):
     return spark.read.parquet(f"{out}/contracts").select(US)
 
 
+#: Rows that the capture takes of a symbol, and the seconds from its first one.
+CAP, LIVE_SECONDS = 12, 500 * 86_400
+
+
+@query(f"""
+WITH o AS (SELECT 'S' || o_custkey % 40 AS symbol, o_orderkey AS id, o_orderdate AS ts, o_orderkey % 7 = 0 AS failed FROM orders),
+g AS (SELECT symbol, id, row_number() OVER (PARTITION BY symbol ORDER BY ts, id) AS n, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY symbol) AS since FROM o WHERE NOT failed)
+SELECT symbol, id::VARCHAR AS instrument_id, '' AS reason FROM g WHERE n <= {CAP} AND since < {LIVE_SECONDS} * 1000000::BIGINT
+UNION ALL SELECT symbol, '', 'no instrument' FROM o WHERE failed""")
+def captured_mappings(spark, sf_dir):
+    """Mappings that landed in three parts, each taken in by a stream started anew: so many of a symbol at most, in so many seconds; those without an instrument are set apart."""
+    k, date = C("o_orderkey"), C("o_orderdate")
+    columns = {"instrument_id": F.when(k % 7 == 0, "").otherwise(F.lpad(k.cast("string"), 12, " ")), "stype_in_symbol": F.concat(F.lit("S"), C("o_custkey") % 40), "start_ts": F.date_format(date, "yyyy-MM-dd HH:mm:ss")}
+    landed, out, rows = f"{scratch_dir(spark)}/mappings", scratch_dir(spark), table(spark, sf_dir, "orders")
+    for since, until in (("1900", "1994"), ("1994", "1996"), ("1996", "2100")):
+        part = rows.where((F.year(date) >= int(since)) & (F.year(date) < int(until)))
+        part.select(*[columns.get(c, F.lit("")).alias(c) for c in files.MAPPING_COLUMNS]).write.mode("append").options(header=True, escape='"').csv(landed)
+        some = intake.captured(intake.read_mapping_stream(spark, landed), CAP, LIVE_SECONDS)
+        intake.take_in(some, f"{out}/checkpoint", intake.batch_sink(f"{out}/rows")).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select(C("stype_in_symbol").alias("symbol"), F.trim("instrument_id").alias("instrument_id"), "reason")
+
+
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS FinInstrmId, p_brand || ', "' || p_type || '"' AS TckrSymb, CAST(p_size AS VARCHAR) AS StrkPric, CAST(NULL AS VARCHAR) AS ISIN FROM part""")
 def exchange_files(spark, sf_dir):
     """The exchange's own files, copied as they are and read; columns that they lack are null."""
@@ -369,10 +412,34 @@ def underlyings_by_session(spark, sf_dir):
     return out.withColumn("session_date", C("session_date").cast("string"))
 
 
-@query(f"WITH {_WANTED} SELECT DISTINCT exchange FROM w WHERE exchange NOT IN ('XCME', 'XCBO', 'XNAS')")
+@query("""
+WITH l AS (SELECT CASE s_suppkey % 5 WHEN 0 THEN 'XNAS' WHEN 1 THEN 'XCME' WHEN 2 THEN 'X' || s_nationkey WHEN 3 THEN 'XCBO' END AS exchange FROM supplier)
+SELECT DISTINCT exchange FROM l WHERE exchange NOT IN ('XCME', 'XCBO', 'XNAS')""")
 def unknown_exchanges(spark, sf_dir):
-    """Exchanges of a list of underlyings that no venue has."""
-    return bars.unknown_exchanges(files.read_underlyings(spark, landed_underlyings(spark)), list(VENUES))
+    """Exchanges of a list of all suppliers' symbols that no venue has."""
+    k = C("s_suppkey") % 5
+    exchange = F.when(k == 0, "xnas|").when(k == 1, "XCME|").when(k == 2, F.concat(F.lit("X"), "s_nationkey", F.lit("|"))).when(k == 3, "xcbo | ").otherwise("")
+    path = f"{scratch_dir(spark)}/suppliers"
+    table(spark, sf_dir, "supplier").select(F.concat(exchange, F.lit("S"), "s_suppkey")).write.text(path)
+    return bars.unknown_exchanges(files.read_underlyings(spark, path), list(VENUES))
+
+
+_EVENT_MAPS = "m AS (SELECT event_type, user_id, CAST(ts AS DATE) AS day, max(value) AS v FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3), n AS (SELECT min(day) AS d FROM m)"
+
+
+@query(f"""WITH {_EVENT_MAPS}, x AS (SELECT event_type, user_id, day, CASE WHEN day >= d + 10 AND event_type <> 'view' THEN v + 1 ELSE v END AS v FROM m, n WHERE day < d + 20 OR event_type <> 'view')
+SELECT event_type, user_id, CAST(day AS VARCHAR) AS day, v FROM x""")
+def stored_upserts(spark, sf_dir):
+    """A table of maps by day that three batches were merged into, the third the second again; one kind of event is in the first batch only."""
+    rows = ticks(spark, sf_dir).where("value IS NOT NULL").groupBy("event_type", "user_id", C("ts").cast("date").alias("day")).agg(F.max("value").alias("v"))
+    first = rows.agg(F.min("day").alias("d"))
+    rows = rows.join(F.broadcast(first), F.lit(True))  # one row
+    maps = lambda df: df.groupBy("event_type", "user_id").agg(F.map_from_entries(F.collect_list(F.struct(C("day").cast("string"), "v"))).alias("data"))
+    later = rows.where("day >= date_add(d, 10) AND event_type <> 'view'").withColumn("v", C("v") + 1)
+    path = f"{scratch_dir(spark)}/store"
+    for batch in (rows.where("day < date_add(d, 20)"), later, later):
+        store.upsert(maps(batch), path, "event_type", "user_id")
+    return spark.read.parquet(path).select("event_type", "user_id", F.explode("data").alias("day", "v"))
 
 
 @query("""
