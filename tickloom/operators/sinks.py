@@ -1,12 +1,15 @@
 """Writes that can be repeated: partitions are replaced as a whole, so a second run leaves the same data."""
 
 import re
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import discard, kept
+from ..schema import REQUIRED
+from ..scratch import discard, kept, move, scratch_dir
+from .database import load
 
 #: Bytes of a file that a task holds while it copies.
 COPY_BYTES = 8 << 20
@@ -46,7 +49,6 @@ def copy_files(spark: SparkSession, source: str, target: str) -> DataFrame:
     def run(batches):
         import os
         from hashlib import sha256
-        from urllib.parse import unquote
 
         import pyarrow as pa
         from pyarrow import fs
@@ -98,11 +100,51 @@ def write_aggregates(contracts: DataFrame, baskets: DataFrame, path: str) -> Non
 
 
 def push_day(contracts: DataFrame, basket_documents: DataFrame, url: str, day: str, mirror: str = "public", **properties) -> None:
-    """contracts and baskets into the day's schema and the baskets' own one, and again into the schema that always holds the latest."""
+    """contracts and baskets into the day's schema and the baskets' own one, and into the schema that always holds the latest: all at once, see load."""
+    required = tuple(c for c in ("date", "exchange", *REQUIRED) if c in contracts.columns)
+    tables = []
     for schema in (dated_schema(day), mirror):
-        write_jdbc(contracts, url, f"{schema}.contracts", **properties)
-        write_jdbc(basket_documents, url, f"{schema}.baskets", **properties)
-    write_jdbc(basket_documents, url, f"{dated_schema(day)}_baskets.baskets", **properties)
+        tables += [(schema, "contracts", contracts, required, ()), (schema, "baskets", basket_documents, ("basket", "scripts"), ("scripts",))]
+    tables.append((f"{dated_schema(day)}_baskets", "baskets", basket_documents, ("basket", "scripts"), ("scripts",)))
+    load(contracts.sparkSession, tables, url, **properties)
+
+
+def _cell(c):
+    """A value as a cell of a CSV line, in quotes where it must be; null is blank."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    return F.when(text.rlike('[,"\\r\\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def write_matrices(minutes: DataFrame, prices: DataFrame, path: str, measures: tuple = ("underlying_ltp", "straddle_3atm", "vt_3atm")) -> list:
+    """One CSV file for each underlying, days to expiry and day, {path}/{U}_{n}dte/{U}_matrix_{day}.csv; the files' names.
+
+    minutes(underlying, dte, day, ts, <measures>) are the lines, prices(underlying, dte, day, ts, symbol, mid) the further cells: each
+    file has a column for every symbol that has a price in it, in order, so files differ in their columns and no list of symbols is
+    needed. A symbol's first price at a ts counts, by value; prices of no minute go. All files are lines of one table, ordered within
+    their file by one job, written aside and moved into place by name; a file that exists is replaced. A file is one task's.
+    """
+    spark, key = minutes.sparkSession, ["underlying", "dte", "day"]
+    one = prices.where("symbol IS NOT NULL AND mid IS NOT NULL").groupBy(*key, "ts", "symbol").agg(F.min("mid").alias("mid"))
+    cells = one.groupBy(*key, "ts").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "mid"))).alias("_m"))
+    symbols = one.join(minutes.select(*key, "ts"), [*key, "ts"], "left_semi").groupBy(*key).agg(F.array_sort(F.collect_set("symbol")).alias("_s"))
+    wide = minutes.join(cells, [*key, "ts"], "left").join(symbols, key, "left").withColumn("_s", F.coalesce("_s", F.array().cast("array<string>")))
+    values = F.transform("_s", lambda s: _cell(F.try_element_at("_m", s)))
+    line = F.array_join(F.concat(F.array(_cell(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")), *[_cell(F.col(c)) for c in measures]), F.coalesce(values, F.transform("_s", lambda s: F.lit("")))), ",")
+    head = F.array_join(F.concat(F.array(F.lit("ts"), *map(F.lit, measures)), F.transform("_s", _cell)), ",")
+    heads = wide.groupBy(*key).agg(F.any_value("_s").alias("_s")).select(*key, F.lit(None).cast("timestamp").alias("ts"), head.alias("line"))
+    u = F.col("underlying")
+    folder, file = F.concat(u, F.lit("_"), "dte", F.lit("dte")), F.concat(u, F.lit("_matrix_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv"))
+    lines = wide.select(*key, "ts", line.alias("line")).unionByName(heads).select(folder.alias("_folder"), file.alias("_file"), "ts", "line")
+    aside = scratch_dir(spark)
+    lines.repartition("_folder", "_file").sortWithinPartitions("_folder", "_file", F.col("ts").asc_nulls_first(), "line").select("_folder", "_file", "line").write.partitionBy("_folder", "_file").text(aside)
+    made = [unquote(f) for f in spark.read.text(aside).inputFiles()]
+    names = []
+    for f in made:  # one for each matrix: as many renames as files
+        folder, file = re.search(r"/_folder=([^/]*)/_file=([^/]*)/", f).groups()
+        names.append(f"{unquote(folder)}/{unquote(file)}")
+        move(spark, f, f"{path.rstrip('/')}/{names[-1]}")
+    discard(spark, aside)
+    return sorted(names)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -119,11 +161,6 @@ def write_bars(df: DataFrame, path: str) -> None:
     write_partitions(df, path, ["underlying"], ["ts"])
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **properties) -> None:
-    """Replace a table's rows; the database keeps its definition, and with it the constraints and triggers."""
-    df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch, truncate=True, **properties).mode("overwrite").save()
-
-
 def latest_view(df: DataFrame, name: str) -> None:
     """A view of the latest date's rows."""
     latest = df.agg(F.max("date").alias("date"))

@@ -6,7 +6,7 @@ Each line of lineitem is an instrument of part P<l_partkey>: equities, futures a
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import expiry, symbols
+from ..functions import calendar, expiry, symbols
 from ..operators import bars, baskets, contracts, normalize, sinks, store
 from ..schema import BASKET_COLUMNS, CONTRACT_COLUMNS, MASTER_COLUMNS
 from ..scratch import scratch_dir
@@ -452,6 +452,61 @@ def session_days(spark, sf_dir):
     return expiry.mark_sessions(days, calendar).select(C("day").cast("string").alias("day"), "is_session")
 
 
+_CALENDAR = f"""cal AS (SELECT x::DATE AS day, row_number() OVER (PARTITION BY year(x), month(x), isodow(x) ORDER BY x) AS n, row_number() OVER (PARTITION BY year(x), month(x), isodow(x) ORDER BY x DESC) AS back,
+  isodow(x) AS w, month(x) * 100 + day(x) AS md, year(x) AS y FROM generate_series(TIMESTAMP '1980-01-01', TIMESTAMP '2050-12-31', INTERVAL 1 DAY) AS t(x)),
+e1 AS (SELECT DISTINCT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM cal), e2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM e1),
+e3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM e2), e4 AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS q FROM e3), good AS (SELECT make_date(y, q // 31, q % 31 + 1) - 2 AS day FROM e4),
+hol AS (SELECT day FROM cal WHERE (md // 100 = 1 AND w = 1 AND n = 3 AND y >= 1998) OR (md // 100 = 2 AND w = 1 AND n = 3) OR (md // 100 = 5 AND w = 1 AND back = 1) OR (md // 100 = 9 AND w = 1 AND n = 1) OR (md // 100 = 11 AND w = 4 AND n = 4)
+  OR (md = 101 AND w < 6) OR (md = 102 AND w = 1) OR (md IN (704, 1225) AND w < 6) OR (md IN (703, 1224) AND w = 5) OR (md IN (705, 1226) AND w = 1) OR (y >= 2022 AND ((md = 619 AND w < 6) OR (md = 618 AND w = 5) OR (md = 620 AND w = 1)))
+  OR day IN ({', '.join(f"DATE '{d}'" for d in calendar.CLOSED)}) UNION SELECT day FROM good),
+ses AS (SELECT *, w < 6 AND day NOT IN (SELECT day FROM hol) AS is_session FROM cal)"""
+
+
+@query(f"""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders UNION SELECT DISTINCT CAST(ts AS DATE) FROM events UNION SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem), {_CALENDAR}
+SELECT CAST(day AS VARCHAR) AS day, is_session, is_session AND (md IN (703, 1224) OR (md // 100 = 11 AND w = 5 AND day - 1 IN (SELECT day FROM cal WHERE md // 100 = 11 AND w = 4 AND n = 4))) AS closes_early FROM d JOIN ses USING (day)""")
+def exchange_sessions(spark, sf_dir):
+    """The days of all orders, shipments and events: whether the US exchanges trade on them by the calendar's rules, and close early."""
+    days = [table(spark, sf_dir, t).select(C(c).cast("date").alias("day")) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))]
+    every = days[0].union(days[1]).union(days[2]).distinct()
+    return every.select(C("day").cast("string").alias("day"), calendar.is_us_session(C("day")).alias("is_session"), calendar.closes_early(C("day")).alias("closes_early"))
+
+
+@query(f"""WITH {_CALENDAR}, b AS (SELECT DISTINCT upper(event_type) AS underlying, CAST(ts AS DATE) AS day FROM events WHERE (day(ts) + length(event_type)) % 3 > 0),
+r AS (SELECT max(CAST(ts AS DATE)) AS until FROM events), c AS (SELECT day FROM ses, r WHERE is_session AND day <= until ORDER BY day DESC LIMIT 10), u AS (SELECT DISTINCT upper(event_type) AS underlying FROM events UNION SELECT 'P' || p_partkey FROM part WHERE p_size = 1)
+SELECT u.underlying, CAST(c.day AS VARCHAR) AS session FROM u, c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.underlying = u.underlying AND b.day = c.day)""")
+def missing_bars(spark, sf_dir):
+    """Which of the last ten sessions have not landed for which underlying, by the names of folders alone; a kind of event lands on two days of three."""
+    t = ticks(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/bars"
+    some = t.where("(day(ts) + length(event_type)) % 3 > 0").groupBy(F.upper("event_type").alias("underlying"), C("ts").cast("date").alias("session")).agg(F.count("*").alias("volume"))
+    some.write.partitionBy("underlying", "session").parquet(path)
+    until = t.agg(F.max(C("ts").cast("date")).alias("until"))  # one row
+    days = until.select(F.explode(F.sequence(F.date_sub("until", 30), "until")).alias("session_date")).where(calendar.is_us_session(C("session_date")))
+    last = expiry.last_sessions(days, 10, "2100-01-01").select(C("session_date").cast("string").alias("session"))
+    names = t.select(F.upper("event_type").alias("underlying")).union(table(spark, sf_dir, "part").where("p_size = 1").select(F.concat(F.lit("P"), "p_partkey"))).distinct()
+    return bars.sessions_of(names, last).join(files.landed_partitions(spark, path, ["underlying", "session"]), ["underlying", "session"], "left_anti")
+
+
+_HOURS = "h AS (SELECT upper(event_type) AS underlying, CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS hour, user_id, value, event_id FROM events WHERE value IS NOT NULL)"
+
+
+@query(f"""WITH {_HOURS}, k AS (SELECT underlying, ((12 - isodow(day)) % 7)::INT AS dte, day, hour, 'K, ' || user_id % 7 AS name, max(value) AS value FROM h WHERE user_id % 3 = 0 GROUP BY ALL)
+SELECT underlying, dte, CAST(day AS VARCHAR) AS trade_date, epoch_us(hour) AS ts, name, value FROM k
+UNION ALL SELECT underlying, ((12 - isodow(day)) % 7)::INT, CAST(day AS VARCHAR), epoch_us(hour), 'underlying_ltp', arg_max(value, event_id) FROM h GROUP BY 1, 2, 3, 4""")
+def matrix_files(spark, sf_dir):
+    """Matrices of hours by symbol, a file for each underlying and day with columns of its own, written and read back."""
+    t = ticks(spark, sf_dir).where("value IS NOT NULL")
+    key = [F.upper("event_type").alias("underlying"), C("ts").cast("date").alias("day"), F.date_trunc("hour", "ts").alias("hour")]
+    dte = expiry.days_to_friday(C("day")).cast("int").alias("dte")
+    index = t.groupBy(*key).agg(F.max_by("value", "event_id").alias("underlying_ltp"))
+    prices = t.where("user_id % 3 = 0").groupBy(*key, F.concat(F.lit("K, "), C("user_id") % 7).alias("symbol")).agg(F.max("value").alias("mid"))
+    minutes = index.select("underlying", dte, "day", C("hour").alias("ts"), "underlying_ltp", F.lit(None).cast("double").alias("straddle_3atm"), F.lit(None).cast("double").alias("vt_3atm"))
+    path = f"{scratch_dir(spark)}/matrices"
+    sinks.write_matrices(minutes, prices.select("underlying", dte, "day", C("hour").alias("ts"), "symbol", "mid"), path)
+    cells = files.read_matrix_cells(spark, f"{path}/*/*.csv")
+    return cells.select("underlying", "dte", C("trade_date").cast("string").alias("trade_date"), F.unix_micros("ts").alias("ts"), "name", "value")
+
+
 def _strike():
     return ((C("user_id") % 20) * 25).cast("double")
 

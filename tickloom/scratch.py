@@ -47,3 +47,14 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for p in paths:
         path = sc._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file within a store, over one that is there; the store's own rename, so no byte passes the driver."""
+    sc = spark.sparkContext
+    a, b = (sc._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = b.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    fs.delete(b, False)
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")

@@ -1,12 +1,14 @@
 """Raw files as DataFrames: all text, nothing inferred, bad rows set apart. Only Spark's readers open them, so any store will do."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.symbols import parent_symbol, side_letter
 from ..schema import BARS, CONTRACT_COLUMNS, CONTRACT_FIELDS, DEFINITIONS, EXCHANGE_FILE_COLUMNS, MAPPING_COLUMNS, MASTER_ALIASES, MASTER_COLUMNS, texts
-from .lines import by_header, numbered_lines
+from .lines import by_header, cells, numbered_lines
 
 CORRUPT = "_corrupt"
 #: Fixed value: stands for all symbols of a venue in a request.
@@ -146,6 +148,36 @@ def read_matrices(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def read_matrix_cells(spark: SparkSession, glob: str) -> DataFrame:
+    """(underlying, dte, trade_date, ts, name, value) of all cells of matrix files that hold a number; each file's first line names its columns."""
+    path, place, day = "source_path", r"/([^/]+)_(\d+)dte/", r"_matrix_(\d{4})-?(\d{2})-?(\d{2})"
+    lines = numbered_lines(spark, glob).where("line_no > head.line_no AND trim(value) <> ''")
+    pairs = lines.select(path, F.arrays_zip(cells(F.col("head.value")).alias("name"), cells(F.col("value")).alias("value")).alias("c"))
+    each = pairs.select(path, F.get("c", F.lit(0))["value"].alias("ts"), F.explode(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0)))).alias("c"))
+    return each.select(
+        F.regexp_extract(path, place, 1).alias("underlying"), F.regexp_extract(path, place, 2).try_cast("int").alias("dte"), F.concat_ws("-", *[F.regexp_extract(path, day, i) for i in (1, 2, 3)]).try_cast("date").alias("trade_date"),
+        F.col("ts").try_cast("timestamp").alias("ts"), F.col("c.name").alias("name"), F.col("c.value").try_cast("double").alias("value"),
+    ).where("value IS NOT NULL")
+
+
+def landed(spark: SparkSession, path) -> list:
+    """The names of all files below a folder, none where there is no such folder; no file is opened."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return [unquote(n) for n in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+
+
+def landed_partitions(spark: SparkSession, path, keys: list) -> DataFrame:
+    """The distinct values of key=value folders in which files stand, as text, from the listing alone: no file is opened."""
+    found = spark.createDataFrame([(n,) for n in landed(spark, path)], "path string")
+    return found.select(*[F.url_decode(F.replace(F.regexp_extract("path", rf"/{k}=([^/]*)/", 1), F.lit("+"), F.lit("%2B"))).alias(k) for k in keys]).distinct()
+
+
 def first_of(df: DataFrame, keys: list, order: list) -> DataFrame:
     """The first row of each key in a total order; the plan has a limit below the shuffle, so a frequent key does not meet in one task."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
