@@ -174,17 +174,41 @@ def test_pii_far_from_value(spark):
     rows = [(1, f"Vexilor {common * 40}\n\n at jo@acme.org now Vexilor"), (2, f"jo@acme.org {common} é Vexilor"), (3, f"{common} Vexilor"), (4, f"{common} +49 30 1234567 {common} Quandry 日本語"), *((i, common + "Vera") for i in range(10, 900))]
     out = {r.did: r for r in pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for d, t in rows[:4]:
-        assert [(x.s, x.e) for x in out[d].more] == [(m.start(), m.end()) for m in re.finditer("Vexilor|Quandry|日本語|now", t)], d
+        assert [(x.s, x.e) for x in out[d].more] == [(m.start(), m.end()) for m in re.finditer("Vexilor", t)], d
     assert not any(out[i].more for i in range(10, 900))
     clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert clean[3] == f"{common} [NAME V]" and clean[10] == common + "Vera"
-    alone = [(1, "Qu4x at jo@acme.org"), *((i, "many") for i in range(2, 40))]
-    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(alone, "doc_id long, text string")).collect()}
-    assert clean[1] == " at [EMAIL]"  # no other document has a code
+    few = [(1, "Qu4x at jo@acme.org"), (2, "Qu4x and jo@acme.org once"), (3, "Qu4x is jo@acme.org too"), *((i, "many") for i in range(4, 90))]
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(few, "doc_id long, text string")).collect()}
+    assert clean[1] == " at [EMAIL]" and clean[2] == " and [EMAIL] once"  # no other document has a code, nor one that starts with Q
+
+
+def test_pii_ties_are_not_chance(spark):
+    rng = np.random.default_rng(3)
+    words = lambda n: " ".join(f"w{x}x" for x in rng.integers(0, 3000, n))
+    planted = {f"Planted{p}": [f"{words(30)} Planted{p} {words(5)} p{p}@acme.org hapax{p}n{k} {words(9)}" for k in range(3)] for p in range(8)}
+    single = [f"{words(40)} only{k}once s{k}@acme.org {words(10)}" for k in range(60)]
+    copied = [f"{words(30)} copied once c@acme.org Unusual text"] * 7
+    texts = [*(t for some in planted.values() for t in some), *single, *copied, *(words(40) for _ in range(1500)), "Planted3 stands without an address"]
+    out = {r.did: r for r in pii.personal_spans(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    marked = {(d, texts[d][x.s : x.e]) for d, r in out.items() for x in r.more}
+    assert marked == {(d, w) for d, t in enumerate(texts) for w in planted if f"{w} " in t}  # no hapax, no word of one text or of its copies
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert all(clean[d] == t for d, t in enumerate(texts) if not pii.base_spans(t) and "Planted" not in t)
+
+
+def test_pii_chance_is_the_hypergeometric_tail():
+    from itertools import product
+    from math import comb
+
+    cases = [(c, v, n, 30) for c, v, n in product(range(1, 5), range(1, 8), range(1, 8))] + [(2, 3, 4, 10**6), (1, 30, 30, 30)]
+    for c, v, n, of in cases:
+        want = sum(comb(v, k) * comb(of - v, n - k) for k in range(c, min(v, n) + 1) if n - k <= of - v) / comb(of, n) if c <= min(v, n) and c >= v + n - of else 1
+        assert pii.chance([c], [v], [n], of)[0] == pytest.approx(want, rel=1e-6)
 
 
 def test_pii_brute(spark, docs):
-    docs = docs | {10**6: "Ωmega stands at zz@acme.org"}
+    docs = docs | {10**6 + k: f"Ωmega stands {k} at zz@acme.org" for k in range(3)} | {10**6 + 3 + k: f"the Ypsilo{k}n {k} at yy@acme.org" for k in range(2)}
     own, held, n = {}, defaultdict(set), len(docs)
     low = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
 
@@ -201,14 +225,19 @@ def test_pii_brute(spark, docs):
         for m in own[d]:
             for f in forms(m[0]):
                 every[f].add(d)
-    risky = set()
+    risky, pairs = set(), {}
     for ds in held.values():
-        for f in {f for d in ds for m in own[d] for f in forms(m[0])} if len(ds) < n else ():
-            if np.log(len(every[f] & ds) * n / len(ds) / len(every[f])) >= 0.9 * np.log(n / len(ds)) - 1e-12:
-                risky.add(f)
+        of = {docs[d]: d for d in ds}  # equal texts count once
+        for f in {f for d in ds for m in own[d] for f in forms(m[0])} if len(of) < n else ():
+            c, v = len({docs[d] for d in every[f] & ds}), len(of)
+            if len(every[f]) <= n * max(len({docs[d] for d in x}) / n for x in held.values() if x & ds and len({docs[d] for d in x}) < n and x & every[f]) ** 0.9 * (1 + 1e-9):
+                pairs[frozenset(of), f] = c, v, len(every[f])
+    for (_, f), (c, v, k) in pairs.items():
+        if np.log(c * n / v / k) >= 0.9 * np.log(n / v) - 1e-12 and c > 1 and pii.chance([c], [v], [k], n)[0] * len(pairs) <= 0.01:
+            risky.add(f)
     want = {d: [(*m.span(), 1 + (forms(m[0])[1] in risky) * (1 + (forms(m[0])[2] in risky))) for m in own[d] if forms(m[0])[0] in risky] for d in docs}
     got = {r.did: r.more for r in pii.personal_spans(spark.createDataFrame([*docs.items()], "doc_id long, text string")).collect()}
-    assert {d: [(x.s, x.e, x.level) for x in got[d]] for d in docs} == want and {x[2] for w in want.values() for x in w} >= {1, 2}
+    assert {d: [(x.s, x.e, x.level) for x in got[d]] for d in docs} == want and any(want.values())
 
 
 def test_quality(spark, docs):

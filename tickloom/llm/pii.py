@@ -1,5 +1,6 @@
 """Personal data: base patterns, and terms that the corpus ties so closely to a protected value that they disclose it."""
 
+import math
 import re
 
 import numpy as np
@@ -12,7 +13,6 @@ from ..scratch import discard, watch
 from .common import LOWER_LUT, PLACES, U, as_struct, bloom_filter, field, materialize, may_hold, mix, quoted, text_slices, word_hashes, written
 
 KINDS = ("email", "ip", "card", "phone")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
@@ -20,6 +20,8 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: Share of a protected value's information from which on a term discloses it.
 DISCLOSES = 0.9
+#: A tie must be so unlikely by chance that among all pairs tested this many are expected to look like it.
+BY_CHANCE = 0.01
 #: Kinds of terms, the coarser level of generalisation; the finer one has the first character as well.
 CLASSES = ("WORD", "NAME", "CODE")
 #: Terms that more than this share of the documents hold are looked up by a broadcast, so that no task gets all rows of one of them.
@@ -183,26 +185,59 @@ def term_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.coalesce(quoted(text), F.lit("")).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosing(rows: DataFrame, counts: DataFrame, n_docs: int, discloses: float) -> DataFrame:
-    """(term): the terms and generalisations whose pointwise mutual information with a value is `discloses` of the value's information or more.
+def log_choose(n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    g = np.vectorize(math.lgamma, otypes=[float])
+    return g(n + 1) - g(k + 1) - g(n - k + 1)
+
+
+def chance(c: np.ndarray, v: np.ndarray, n: np.ndarray, of: int) -> np.ndarray:
+    """The hypergeometric tail: how likely c rows or more hold both, if v rows of `of` hold one and n the other by chance."""
+    c, v, n = (np.asarray(x, float) for x in (c, v, n))
+    out = np.ones(len(c))
+    ok = (c <= np.minimum(v, n)) & (n <= of) & (v <= of) & (c >= v + n - of) & (c > 0)
+    c, v, n = c[ok], v[ok], n[ok]
+    if len(c):
+        term = np.exp(log_choose(v, c) + log_choose(of - v, n - c) - log_choose(np.full(len(c), float(of)), n))
+        total, k = term.copy(), c.copy()
+        while (term > 1e-16 * total).any():
+            term = term * (v - k) * (n - k) / ((k + 1) * (of - v - n + k + 1))
+            total, k = total + term, k + 1
+        out[ok] = np.minimum(total, 1)
+    return out
 
-    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value), all over the same rows: a term counts
-    wherever it stands outside base spans in a row that holds the value. Values of the same rows count once. As p(value, term) <= p(value),
-    only terms with p(term) <= p(value) ** discloses can pass, so others go before they are paired.
+
+def disclosing(rows: DataFrame, counts: DataFrame, n_docs: int, discloses: float) -> DataFrame:
+    """(term): the terms and generalisations whose pointwise mutual information with a value is `discloses` of the value's information or
+    more, by a tie that chance does not explain.
+
+    PMI = log(p(value, term) / (p(value) p(term))), the value's information is -log p(value): a term counts wherever it stands outside
+    base spans in a row that holds the value. Texts that are equal count once for a value and for a pair, and each for a term, so copies
+    are no evidence. Values of the same texts count once. As p(value, term) <= p(value), only terms with p(term) <= p(value) **
+    discloses can pass, so others go before they are paired. Of the pairs so tested those stay whose hypergeometric tail, times the
+    number of all of them, is BY_CHANCE at most, and that stand in two texts: a word of one text is tied to nothing, however rare it is.
     """
-    held = rows.select("rid", F.explode("values").alias("value"))
-    own = held.groupBy("value").agg(F.count("*").alias("v"), F.sum(F.xxhash64("rid").cast("decimal(20,0)")).alias("docs"))
+    texts = rows.where("size(values) > 0").dropDuplicates(["th"])
+    held = texts.select("th", F.explode("values").alias("value"))
+    own = held.groupBy("value").agg(F.count("*").alias("v"), F.sum(F.xxhash64("th").cast("decimal(20,0)")).alias("docs"))
     own = own.select("value", "v", F.xxhash64("v", "docs").alias("cls"))
-    held = materialize(held.join(own, "value").where(F.col("v") < n_docs).select("rid", "cls", "v").distinct())
-    most = held.groupBy("rid").agg((F.pow(F.max("v") / n_docs, F.lit(discloses)) * n_docs * (1 + 1e-9)).alias("limit"))
-    terms = rows.where("size(terms) > 0").select("rid", "terms").join(most, "rid").select("rid", "limit", F.explode("terms").alias("term"))
+    held = materialize(held.join(own, "value").where(F.col("v") < n_docs).select("th", "cls", "v").distinct())
+    most = held.groupBy("th").agg((F.pow(F.max("v") / n_docs, F.lit(discloses)) * n_docs * (1 + 1e-9)).alias("limit"))
+    terms = texts.where("size(terms) > 0").select("th", "terms").join(most, "th").select("th", "limit", F.explode("terms").alias("term"))
     is_common = F.col("n") > COMMON * n_docs
     terms = terms.join(F.broadcast(counts.where(is_common)), "term", "left").where("n is null or n <= limit")
     rare = terms.where("n is null").drop("n").join(counts.where(~is_common), "term").where("n <= limit")
-    both = rare.select("rid", "term", "n").union(terms.where("n is not null").select("rid", "term", "n")).join(held, "rid")
-    both = both.groupBy("cls", "term").agg(F.count("*").alias("c"), F.first("v").alias("v"), F.first("n").alias("n"))
+    both = rare.select("th", "term", "n").union(terms.where("n is not null").select("th", "term", "n")).join(held, "th")
+    both = materialize(both.groupBy("cls", "term").agg(F.count("*").alias("c"), F.first("v").alias("v"), F.first("n").alias("n")))
+    tested = max(1, both.count())
     share = (F.log(F.col("c") * n_docs) - F.log("v") - F.log("n")) / F.greatest(F.log(F.lit(n_docs) / F.col("v")), F.lit(1e-9))
-    return both.where(share >= discloses - 1e-12).select("term").distinct()
+
+    def beyond(batches):
+        for batch in batches:
+            c, v, n = (batch.column(k).to_numpy() for k in (1, 2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(chance(c, v, n, n_docs) * tested <= BY_CHANCE))], ["term"])
+
+    tied = both.where((share >= discloses - 1e-12) & (F.col("c") > 1)).select("term", "c", "v", "n")
+    return tied.mapInArrow(beyond, "term long").distinct()
 
 
 def personal_spans(docs: DataFrame, text: str = "text", discloses: float = DISCLOSES) -> DataFrame:
@@ -210,8 +245,8 @@ def personal_spans(docs: DataFrame, text: str = "text", discloses: float = DISCL
 
     more has (s, e, level, kind): at level 1 the term's class (CLASSES[kind]) and first character together disclose nothing, at level 2
     its class, at level 3 neither can be told. Null texts are empty and have no spans; texts of any length are taken whole. Repeated rows
-    count apart and get the same spans; rows without an id are told apart by their texts. A table without personal data, or without
-    rows, gives none; a value that all rows hold discloses and is disclosed by nothing. Other columns are ignored.
+    get the same spans and are no evidence of a tie; rows without an id are told apart by their texts. A table without personal data, or
+    without rows, gives none; a value that all rows hold, or only one text, discloses and is disclosed by nothing. Other columns are ignored.
     """
     rows = materialize(scan(docs, text))
     with watch() as made:
