@@ -124,11 +124,19 @@ def test_segments_encode_as_the_whole(text):
         assert [i for x in b for i in x] == BOTH.b.encode(text)
 
 
-@pytest.mark.parametrize("n", [1, 3])
-def test_links_of_a_segment_count_occurrences(n):
-    numbers, texts, links, times = BOTH.align([" " + "=" * 37, " the", "▁"][:n])
-    for k, (n_a, n_b, n_groups, n_links, distinct, ok) in enumerate(numbers.tolist()):
-        groups = texts[k].split(";") if ok else []
-        assert len(groups) == n_groups
-        assert n_links == sum(len(g.split("|")[0].split(",")) * len(g.split("|")[1].split(",")) for g in groups)
-    assert times.sum() == numbers[:, 3].sum() and len(links) == numbers[:, 4].sum()
+@pytest.mark.parametrize("many", [1, 3, 10_000])
+def test_links_of_groups(many, monkeypatch):
+    monkeypatch.setattr(alignment, "MANY", many)
+    numbers, texts = BOTH.align([" " + "=" * 37, " the", "▁", " 🙂👍🏽é", " été"])
+    assert numbers[:, 4].tolist() == [1, 1, 0, 1, 1] and texts[2] == ""
+    some = [t for t in texts if t] + ["1,2,2|3,3;4|5,6", "7|8"]
+    links, times, sizes = alignment.links_of(some)
+    for t, size in zip(some, sizes.tolist(), strict=True):
+        want = Counter((int(a), int(b)) for g in t.split(";") for a in g.split("|")[0].split(",") for b in g.split("|")[1].split(","))
+        got = Counter()
+        for link, n in zip(links[:size].tolist(), times[:size].tolist(), strict=True):
+            got[link >> 32, link & (1 << 32) - 1] += n
+        assert got == want
+        links, times = links[size:], times[size:]
+    assert not len(links)
+    assert [len(x) for x in alignment.links_of([])] == [0, 0, 0]

@@ -20,6 +20,9 @@ LONG = 1 << 20
 CUTTABLE = " \t\n\x0b\x0c\r"
 BROAD = CUTTABLE + "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 DOC, SEGMENT = 0, 1
+#: What stands between the numbers of a text of groups; pairs of a group from which on its distinct ids are paired.
+SEPARATORS = bytes.maketrans(b",|;\n", b"    ")
+MANY = 10_000
 
 
 def safe_cuts(tokens: list) -> str:
@@ -76,11 +79,10 @@ class Tokenizers:
         b = self.b.encode([self.GUARD + s for s in segments], num_threads=1)
         return a, [ids[self.skip :] for ids in b]
 
-    def align(self, segments: list) -> tuple:
-        """(numbers, texts, links, times): for each segment n_a, n_b, n_groups, n_links, the number of its distinct links and whether its tokens' bytes are
-        its own; its groups as text; then the distinct links a << 32 | b of all segments in a row, and how often each is there."""
+    def align(self, segments: list) -> tuple[np.ndarray, list]:
+        """(numbers, texts): for each segment n_a, n_b, n_groups, n_links and whether its tokens' bytes are its own; its groups as text, empty if they are not."""
         a, b = self.encode(segments)
-        numbers, texts, links, times = np.zeros((len(segments), 6), np.int32), [], [], []
+        numbers, texts = np.zeros((len(segments), 5), np.int64), []
         of_a, of_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         for k, (segment, x, y) in enumerate(zip(segments, a, b, strict=True)):
             raw, ta, tb = segment.encode(), [*map(of_a, x)], [*map(of_b, y)]
@@ -91,7 +93,7 @@ class Tokenizers:
             if len(x) == 1 or len(y) == 1:
                 groups.append((x, y))
             else:
-                ends, at, i = {}, 0, 0
+                ends, at = {}, 0
                 for n, t in enumerate(ta):
                     at += len(t)
                     ends[at] = n + 1
@@ -101,36 +103,40 @@ class Tokenizers:
                     if to := ends.get(at):
                         groups.append((x[i:to], y[j : n + 1]))
                         i, j = to, n + 1
-            own: dict = {}
-            n_links = 0
-            for p, q in groups:
-                n_links += len(p) * len(q)
-                if len(p) == len(q) == 1:
-                    key = p[0] << 32 | q[0]
-                    own[key] = own.get(key, 0) + 1
-                    continue
-                many_p, many_q = counted(p), counted(q)
-                for u, m in many_p.items():
-                    for v, n in many_q.items():
-                        key = u << 32 | v
-                        own[key] = own.get(key, 0) + m * n
-            numbers[k] = len(x), len(y), len(groups), n_links, len(own), 1
+            numbers[k] = len(x), len(y), len(groups), sum(len(p) * len(q) for p, q in groups), 1
             texts.append(";".join([",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups]))
-            links += own.keys()
-            times += own.values()
-        return numbers, texts, np.array(links, np.int64), np.array(times, np.int32)
+        return numbers, texts
 
 
-def counted(ids: list) -> dict:
-    out: dict = {}
-    for i in ids:
-        out[i] = out.get(i, 0) + 1
-    return out
+def links_of(texts: list) -> tuple:
+    """(links, times, sizes) of texts of groups: the pairs a << 32 | b of each text's groups, how often each stands there, and the pairs of each text.
+
+    Pairs that repeat in a text may stand there more than once, each with its times; a group of many pairs has its distinct ids paired.
+    """
+    raw = "\n".join([*texts, ""]).encode()
+    data = np.frombuffer(raw, np.uint8)
+    after = data[(data < 48) | (data > 57)]  # what follows each number
+    ids = np.fromstring(raw.translate(SEPARATORS), np.int64, sep=" ") if raw else np.zeros(0, np.int64)
+    ends, middle = np.flatnonzero((after == ord(";")) | (after == ord("\n"))) + 1, np.flatnonzero(after == ord("|")) + 1
+    first = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+    p, q = middle - first, ends - middle
+    text = np.cumsum(after[ends - 1] == ord("\n")) - (after[ends - 1] == ord("\n"))
+    m = np.where(p * q > MANY, 0, p * q)
+    k = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    width = np.repeat(q, m)
+    links, of = ids[np.repeat(first, m) + k // width] << 32 | ids[np.repeat(middle, m) + k % width], np.repeat(text, m)
+    times = np.ones(len(links), np.int64)
+    for g in np.flatnonzero(p * q > MANY).tolist():
+        (u, cu), (v, cv) = (np.unique(ids[s:e], return_counts=True) for s, e in ((first[g], middle[g]), (middle[g], ends[g])))
+        links, of = np.concatenate([links, (u[:, None] << 32 | v).ravel()]), np.concatenate([of, np.full(len(u) * len(v), text[g])])
+        times = np.concatenate([times, (cu[:, None] * cv).ravel()])
+    order = np.argsort(of, kind="stable")
+    return links[order], times[order], np.bincount(of, minlength=len(texts))
 
 
 def packed(values) -> bytes:
-    """An array, or text as bytes, compressed, with its length in front: what is shuffled is mostly small numbers."""
-    raw = values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes()
+    """An array, or text as bytes, compressed, with its length in front. Of an array's numbers, mostly small ones, first all lowest bytes stand, then all second ones."""
+    raw = values if isinstance(values, bytes) else np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
@@ -138,15 +144,12 @@ def unpacked(data: bytes) -> bytes:
     return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
 
-def array_of(some: list, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(map(unpacked, some)), kind)
+def array_of(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpacked(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def pieces_of(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The runs of values that have `sizes`, in another order of the runs."""
-    starts = (np.cumsum(sizes) - sizes)[order]
-    n = sizes[order]
-    return values[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
+def arrays_of(some: list, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(array_of(x, kind) for x in some)])
 
 
 def segmented(docs: DataFrame, make, text: str) -> DataFrame:
@@ -194,30 +197,28 @@ def segmented(docs: DataFrame, make, text: str) -> DataFrame:
 
 
 def aligned(segments: DataFrame, make) -> DataFrame:
-    """(block, i, numbers, texts, links, times) from (segment, block, i): each distinct segment is encoded and aligned once, whatever blocks hold it.
+    """(block, i, numbers, texts) from (segment, block, i): each distinct segment is encoded and aligned once, whatever blocks hold it.
 
-    Rows come in the order of segments; what a batch has for one block leaves as one row of packed arrays.
+    Rows come in the order of segments; what some batches have for one block leaves as one row of packed arrays.
     """
-    names = ["block", "i", "numbers", "texts", "links", "times"]
-    types = pa.int64(), *[pa.binary()] * 5
+    names = ["block", "i", "numbers", "texts"]
+    types = pa.int64(), *[pa.binary()] * 3
 
     def run(batches):
-        both, last, held, n_held = make(), None, [], 0
+        both, last, held, n_held, known = make(), None, [], 0, 0
 
         def flush():
-            blocks, i, of = (np.concatenate([h[k] for h in held]) for k in range(3))
-            numbers, links, times = (np.concatenate([h[k] for h in held]) for k in (3, 5, 6))
-            texts, n = [t for h in held for t in h[4]], numbers[:, 4].astype(np.int64)
+            blocks, i, of, numbers = (np.concatenate([h[k] for h in held]) for k in range(4))
+            texts = [t for h in held for t in h[4]]
             order = np.argsort(blocks, kind="stable")
             bounds = np.flatnonzero(np.diff(blocks[order], prepend=blocks[order[0]] - 1)).tolist()
             rows = []
             for s, e in zip(bounds, [*bounds[1:], len(order)], strict=True):
                 at = order[s:e]
                 k = of[at]
-                rows.append((int(blocks[at[0]]), packed(i[at]), packed(numbers[k]), packed("\n".join([texts[x] for x in k.tolist()]).encode()), packed(pieces_of(links, n, k)), packed(pieces_of(times, n, k))))
+                rows.append((int(blocks[at[0]]), packed(i[at]), packed(numbers[k]), packed("\n".join([texts[x] for x in k.tolist()]).encode())))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-        known = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -227,10 +228,8 @@ def aligned(segments: DataFrame, make) -> DataFrame:
             made = [last[1]] if new is not distinct else []
             made += [both.align(new[s : s + AT_ONCE]) for s in range(0, len(new), AT_ONCE)]
             numbers, texts = np.concatenate([m[0] for m in made]), [t for m in made for t in m[1]]
-            links, times = (np.concatenate([m[k] for m in made]) for k in (2, 3))
-            n = int(numbers[-1, 4])
-            last = distinct[-1], (numbers[-1:], texts[-1:], links[len(links) - n :], times[len(times) - n :])
-            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), of + known, numbers, texts, links, times))
+            last = distinct[-1], (numbers[-1:], texts[-1:])
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy(), of + known, numbers, texts))
             known, n_held = known + len(distinct), n_held + batch.num_rows
             if n_held >= ROWS:
                 yield flush()
@@ -239,7 +238,7 @@ def aligned(segments: DataFrame, make) -> DataFrame:
             yield flush()
 
     ordered = segments.repartition("segment").sortWithinPartitions("segment")
-    return ordered.mapInArrow(run, "block long, i binary, numbers binary, texts binary, links binary, times binary")
+    return ordered.mapInArrow(run, "block long, i binary, numbers binary, texts binary")
 
 
 RESULTS = ("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("n_links", "long"), ("groups", "string")
@@ -252,19 +251,18 @@ def compose(codes: pa.Table, parts: pa.Table, derive) -> pa.Table:
     """A block's documents from their segments: rows of kind DOC with their counts, groups and distinct links (as places in the block's list of
     links, and how often each is there), and one of kind SEGMENT with that list and the number of documents that hold each link."""
     block = (codes if codes.num_rows else parts)["block"][0].as_py()
-    i, numbers, links, times = (array_of(parts[c].to_pylist(), t) for c, t in (("i", np.int32), ("numbers", np.int32), ("links", np.int64), ("times", np.int32)))
-    numbers = numbers.reshape(-1, 6)
+    i, numbers = arrays_of(parts["i"].to_pylist(), np.int32), arrays_of(parts["numbers"].to_pylist(), np.int64).reshape(-1, 5)
     texts = [t for some in parts["texts"].to_pylist() for t in unpacked(some).decode().split("\n")]
     order = np.argsort(i)
-    n = numbers[:, 4].astype(np.int64)
-    links, times = pieces_of(links, n, order), pieces_of(times, n, order)
-    numbers, n = numbers[order].astype(np.int64), n[order]
-    texts = [texts[k] for k in order.tolist()]
+    numbers, texts = numbers[order], [texts[k] for k in order.tolist()]
+    links, times, sizes = links_of([t for t in texts if t])
+    n = np.zeros(len(texts), np.int64)
+    n[numbers[:, 4] > 0] = sizes
     distinct, of = np.unique(links, return_inverse=True)
     starts, holders, rows = np.cumsum(n) - n, np.zeros(len(distinct), np.int64), []
     for doc_id, value in zip(codes["doc_id"].to_pylist(), codes["codes"], strict=True):
-        own = np.frombuffer(unpacked(value.as_py()), np.int32)
-        if not len(own) or not numbers[own, 5].all():
+        own = array_of(value.as_py(), np.int32)
+        if not len(own) or not numbers[own, 4].all():
             rows.append((DOC, block, doc_id, 0, 0, 0, 0, None, packed(b""), packed(b""), None, None))
             continue
         once, many = np.unique(own, return_counts=True)
@@ -285,7 +283,7 @@ def valued(docs: pa.Table, links: pa.Table) -> pa.Table:
     count[place], best[place] = links["count"].to_numpy(), links["best"].to_numpy()
     out = []
     for places, times in zip(docs["places"], docs["numbers"], strict=True):
-        p, t = np.cumsum(np.frombuffer(unpacked(places.as_py()), np.int32)), np.frombuffer(unpacked(times.as_py()), np.int64)
+        p, t = np.cumsum(array_of(places.as_py(), np.int32)), array_of(times.as_py(), np.int64)
         out.append((int(best[p] @ t), int(count[p] @ t)))
     kept = docs.select(["doc_id", *(c for c, _ in RESULTS)])
     both = list(zip(*out, strict=True)) or [[], []]
