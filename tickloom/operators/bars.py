@@ -6,10 +6,19 @@ from pyspark.sql import functions as F
 from ..functions.expiry import minutes_to_expiry
 
 
+def moment(df: DataFrame, ts: str, ties: tuple = ()) -> Column:
+    """An order of rows by time, then by ties. Where the ties are one whole number or none it is a number itself, so that hash aggregates can hold it."""
+    kinds = dict(df.dtypes)
+    if kinds[ts] in ("timestamp", "timestamp_ntz") and len(ties) <= 1 and all(kinds.get(t) in ("int", "bigint") for t in ties):
+        micros = F.unix_micros(F.col(ts).cast("timestamp"))
+        return micros.cast("decimal(38,0)") * F.lit(str(1 << 64)).cast("decimal(20,0)") + F.col(ties[0]).cast("decimal(38,0)") if ties else micros
+    return F.struct(ts, *ties)
+
+
 def resample_last(ticks: DataFrame, keys: list, value: str, ts: str = "ts", unit: str = "minute", ties: tuple = ()) -> DataFrame:
     """(keys, bucket, value): the last value that is not null in each bucket of time."""
     some = ticks.where(F.col(value).isNotNull())
-    return some.groupBy(*keys, F.date_trunc(unit, ts).alias("bucket")).agg(F.max_by(value, F.struct(ts, *ties)).alias(value))
+    return some.groupBy(*keys, F.date_trunc(unit, ts).alias("bucket")).agg(F.max_by(value, moment(ticks, ts, ties)).alias(value))
 
 
 def fill_forward(buckets: DataFrame, keys: list, value: str, unit: str = "minute") -> DataFrame:
@@ -41,7 +50,7 @@ def unknown_exchanges(underlyings: DataFrame, known: list) -> DataFrame:
 
 
 def last_value(bars: DataFrame, keys: list, value: str, ts: str = "ts", ties: tuple = ()) -> DataFrame:
-    return bars.groupBy(*keys).agg(F.max_by(value, F.struct(ts, *ties)).alias(value))
+    return bars.groupBy(*keys).agg(F.max_by(value, moment(bars, ts, ties)).alias(value))
 
 
 def ladder(rows: DataFrame, keys: list, strike: str = "strike") -> DataFrame:

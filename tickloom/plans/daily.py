@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, expiry, symbols
 from ..operators import bars, baskets, contracts, normalize, sinks, store
 from ..schema import BASKET_COLUMNS, CONTRACT_COLUMNS, MASTER_COLUMNS
-from ..scratch import scratch_dir
+from ..scratch import kept, scratch_dir
 from ..sources import files
 from ..streaming import intake
 from .registry import query, table, ticks
@@ -533,16 +533,16 @@ def landed_definitions(spark: SparkSession, sf_dir: str) -> str:
 def option_minutes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(index of hours with the underlying's last value, definitions around the money, prices of pairs on that index)."""
     t = ticks(spark, sf_dir).withColumn("expiry", _expiry())
-    index = bars.resample_last(t.where("event_type = 'view'"), ["expiry"], "value", unit="hour", ties=("event_id",)).select("expiry", C("bucket").alias("ts"), C("value").alias("ltp"))
+    index = kept(bars.resample_last(t.where("event_type = 'view'"), ["expiry"], "value", unit="hour", ties=("event_id",)).select("expiry", C("bucket").alias("ts"), C("value").alias("ltp")))
     spot = bars.last_value(index, ["expiry"], "ltp")
     defs = files.read_definitions(spark, landed_definitions(spark, sf_dir)).withColumn("expiry", C("expiration").cast("date"))
     window = bars.ladder(defs, ["expiry"]).join(spot, "expiry").select("expiry", bars.strike_window(C("strikes"), C("ltp"), 6).alias("strikes"))
-    defs = bars.at_strikes(defs, window, ["expiry"])
+    defs = kept(bars.at_strikes(defs, window, ["expiry"]))
     quoted = t.where("event_type IN ('purchase', 'click')").withColumn("raw_symbol", _symbol(_strike(), F.when(C("event_type") == "purchase", "C").otherwise("P"), C("expiry")))
     series = bars.fill_forward(bars.resample_last(quoted, ["expiry", "raw_symbol"], "value", unit="hour", ties=("event_id",)), ["expiry", "raw_symbol"], "value", "hour")
     named = series.select("expiry", C("bucket").alias("ts"), "raw_symbol", C("value").alias("mid")).join(defs.select("expiry", "raw_symbol", "strike", "side"), ["expiry", "raw_symbol"])
     prices = bars.on_index(index, named, ["expiry", "ts"]).where("strike IS NOT NULL")
-    return index, defs, bars.paired(prices, ["expiry", "ts"], order="raw_symbol")
+    return index, defs, kept(bars.paired(prices, ["expiry", "ts"], order="raw_symbol"))
 
 
 _OPTIONS = """e AS (SELECT *, CAST(ts AS DATE) + CAST((12 - isodow(ts)) % 7 AS INT) AS expiry, CAST((user_id % 20) * 25 AS DOUBLE) AS strike FROM events),

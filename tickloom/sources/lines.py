@@ -21,12 +21,13 @@ def numbered_lines(spark: SparkSession, path) -> DataFrame:
     lines = kept(
         raw.select(F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("source_block"), F.monotonically_increasing_id().alias("id"), value.alias("value"))
     )
-    blocks = lines.groupBy("source_path", "source_block").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.min(F.when(F.trim("value") != "", F.struct("id", "value"))).alias("h"))
+    blocks = lines.groupBy("source_path", "source_block").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.min(F.when(F.trim("value") != "", F.col("id"))).alias("id"))
     file = Window.partitionBy("source_path")
     before = F.sum("n").over(file.orderBy("source_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    blocks = blocks.withColumn("before", before)
-    found = F.when(F.col("h").isNotNull(), F.struct((F.col("before") + F.col("h.id") - F.col("first")).alias("line_no"), F.col("h.value").alias("value")))
-    starts = blocks.select("source_path", "source_block", "first", "before", F.min(found).over(file).alias("head"))
+    blocks = blocks.withColumn("before", before).withColumn("of_head", F.min(F.when(F.col("id").isNotNull(), F.col("source_block"))).over(file))
+    heads = blocks.where("source_block = of_head").join(lines, ["source_path", "source_block", "id"])
+    heads = heads.select("source_path", F.struct((F.col("before") + F.col("id") - F.col("first")).alias("line_no"), "value").alias("head"))
+    starts = blocks.select("source_path", "source_block", "first", "before").join(heads, "source_path", "left")
     joined = lines.join(starts, ["source_path", "source_block"])
     return joined.select("source_path", "source_file", "source_block", (F.col("before") + F.col("id") - F.col("first")).alias("line_no"), "value", "head")
 
