@@ -163,4 +163,6 @@ def test_functions_that_no_query_calls(spark, tmp_path, monkeypatch):
     assert steps.loader("one")() == "ran"
     with pytest.raises(ModuleNotFoundError):
         steps.loader("two")
-    assert codes.__doc__
+    tokens = {"101126072812345": ("NSE", "FO", "260728", "12345"), "112026072": ("MCX", "COM", "26072", ""), "99992607281": ("", "", "260728", "1"), "1x1126072812": None, "10112607": None, "": None}
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", codes.parse_token(F.col("t")).alias("x")).collect()
+    assert {r.t: r.x and tuple(r.x) for r in got} == tokens

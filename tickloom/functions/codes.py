@@ -15,15 +15,15 @@ INSTRUMENTS = {
     35: "FUTENR", 36: "OPTBLN", 37: "OPTFUT_NCOM", 50: "MISC_BSE",
 }
 #: Exchange code and segment code to market.
-MARKETS = {"10/10": "XNSE", "10/11": "XNFO", "10/12": "XNCD", "10/20": "XNCO", "12/10": "XBSE", "12/11": "XBFO", "12/12": "XBCD", "11/20": "XMCX"}
+MARKETS = {(10, 10): "XNSE", (10, 11): "XNFO", (10, 12): "XNCD", (10, 20): "XNCO", (12, 10): "XBSE", (12, 11): "XBFO", (12, 12): "XBCD", (11, 20): "XMCX"}
 #: Cash instruments.
 CASH = ("EQ", "SPOTFWD", "SPOTCUR", "SPOTIRT", "SPOTGOLD", "SPOTSILVER", "MUTUALFUND", "BOND", "ETF", "SPOT", "SPOTSLV")
 
 
 def lookup(table: dict, key: Column) -> Column:
-    """table[key], null if absent."""
-    pairs = [F.lit(x) for k, v in table.items() for x in ((k if isinstance(k, str) else int(k)), v)]
-    return F.try_element_at(F.create_map(*pairs), key)
+    """table[key], null if absent. A key of several codes is a tuple, and a struct of them in the rows."""
+    literal = lambda k: F.struct(*map(F.lit, k)) if isinstance(k, tuple) else F.lit(k)
+    return F.try_element_at(F.create_map(*[x for k, v in table.items() for x in (literal(k), F.lit(v))]), key)
 
 
 def whole(x: Column) -> Column:
@@ -33,7 +33,7 @@ def whole(x: Column) -> Column:
 
 def market(exchange: Column, segment: Column) -> Column:
     """The market of two codes, empty if unknown."""
-    return F.coalesce(lookup(MARKETS, F.concat_ws("/", whole(exchange).cast("string"), whole(segment).cast("string"))), F.lit(""))
+    return F.coalesce(lookup(MARKETS, F.struct(F.coalesce(whole(exchange), F.lit(-1)).alias("col1"), F.coalesce(whole(segment), F.lit(-1)).alias("col2"))), F.lit(""))
 
 
 def segment_name(segment: Column) -> Column:

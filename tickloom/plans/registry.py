@@ -205,7 +205,7 @@ def scale_price(spark, sf_dir):
 
 
 _NAMES = "MAP {" + ", ".join(f"{k}: '{v}'" for k, v in codes.INSTRUMENTS.items()) + "}"
-_MARKETS = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in codes.MARKETS.items()) + "}"
+_MARKETS = "MAP {" + ", ".join(f"'{e}/{k}': '{v}'" for (e, k), v in codes.MARKETS.items()) + "}"
 
 
 @query(f"""
