@@ -399,8 +399,12 @@ def test_odd_rows(spark):
     assert {r[0]: r[3] for r in got["lines"]}[5] == "" and {r[0]: r[3] for r in got["lines"]}[6] == "word " * 3000
     assert [r[:2] for r in got["rules"]] == sorted([(1, 0), (2, 0), (None, 5), (4, 20), (5, 3000), (6, 3000), (6, 3000), (7, 1)], key=lambda r: str(r[0])) and all(r[2] and not r[3] for r in got["rules"])
     byte, word = library("byte_bpe_50k.json"), library("word_bpe_49k.json")
-    sizes = sorted(((d, 1 + len(byte.encode(t or "", add_special_tokens=False).ids)) for d, t, _ in ODD), key=str)
-    assert sorted(((d, n) for d, n in {(d, i): sum(x[2] for x in got["pack"] if x[0] == d) for d, i, _ in got["pack"] if i == 0}.items()), key=str) == sorted(((d, 0), sum(n for e, n in sizes if e == d)) for d in dict(sizes)) if None not in ids else got["pack"]
+    want, packed = defaultdict(int), defaultdict(int)
+    for d, t, _ in ODD:
+        want[d] += 1 + len(byte.encode(t or "", add_special_tokens=False).ids)
+    for d, _, n in got["pack"]:
+        packed[d] += n
+    assert packed == want and sum(i == 0 for _, i, _ in got["pack"]) == len(ODD)
     assert [r[2] for r in got["pack"] if r[0] in (1, 2)] == [1, 1]
     assert got["encode"] == sorted(((d, len(word.encode(t or "", add_special_tokens=False).ids)) for d, t, _ in ODD), key=lambda r: (str(r[0]), str(r[1])))
     assert all(r[1:] == (0, "") for r in got["spans"]) and [r[0] for r in got["spans"]] == ids
@@ -432,6 +436,18 @@ def test_very_long_texts(spark):
     cut = {r.doc_id: r for r in suffix.drop_repeats(df).collect()}
     assert cut[1].n_removed == cut[1].n_bytes == len(words) and cut[2].n_removed == len(words) and cut[3].n_removed == 400_000 and cut[3].n_spans == 1
     assert all(0 < r.score < 1 for r in quality.score(df, np.full(1 << quality.BITS, 1e-3)).collect())
+    assert {r.doc_id: r.text for r in pii.sanitise(df).collect()} == {**dict(rows), 4: rows[3][1].replace("a@b.de", "[EMAIL]").replace("4111 1111 1111 1111", "[CARD]")}
+    assert {r.doc_id: r.n_words for r in rules.quality_rules(df).collect()} == {d: len(t.split()) for d, t in rows}
+    byte, sizes = library("byte_bpe_50k.json"), defaultdict(int)
+    for r in packing.best_fit_pack(df, queries.tokenizer("byte_bpe_50k.json"), payload=(len, "n", "long")).collect():
+        sizes[r.doc_id] += r.n
+    assert sizes == {d: 1 + len(byte.encode(t, add_special_tokens=False).ids) for d, t in rows}
+    name, wording = max(licenses.TEMPLATES.items(), key=lambda x: len(x[1]))
+    far = spark.createDataFrame([(1, f"{words} {wording} {words}"), (2, words)], "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in licenses.scan_licenses(far).collect()} >= {(1, name)} and not [r for r in licenses.scan_licenses(far).collect() if r.doc_id == 2]
+    many = "\n".join(f"line number {i % 50_000} of a very long text" for i in range(80_000))
+    left = {r.rest.doc_id: r for r in lines.dedup_lines(spark.createDataFrame([(i, many) for i in range(3)] + [(9, words)], "doc_id long, text string")).collect()}
+    assert [left[d].n_dropped for d in (0, 1, 2, 9)] == [80_000, 80_000, 0, 0] and left[2].text == many and left[9].text == words
 
 
 def test_vectors_empty(spark):

@@ -15,8 +15,8 @@ STRIPPED = b" \t\n\x0b\x0c\r"
 #: Stands for a null doc_id: below every id that a document may have.
 NO_ID = -(1 << 63)
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Batches into which a table is dealt at least, lines of a batch at most, and runs of one level that are compacted to one of the next.
-BATCHES, BATCH_LINES, FAN_IN = 4, 50_000_000, 2
+#: Batches into which a table is dealt, at least and at most, lines from which on it is dealt into more, and runs of one level that are compacted to one of the next.
+BATCHES, MOST_BATCHES, BATCH_LINES, FAN_IN = 4, 64, 50_000_000, 2
 #: Let joins use that a bucket of one file is sorted; the tables' order and size change nothing else.
 SORTED_BUCKETS = {"spark__sql__legacy__bucketedTableScan__outputOrdering": "true", "spark__sql__sources__bucketing__autoBucketedScan__enabled": "false"}
 
@@ -53,7 +53,8 @@ class LineRuns:
     Each run is a table in buckets of the hash, each bucket one sorted file, so that a batch, once dealt and sorted, is merge-anti-joined
     with all runs without a further shuffle or sort. ingest() anti-joins a batch with every run: lines that none holds make a run of level 0; the
     others' counts are added beside the runs, so that each hash is in one run only. Where a level has fan_in runs, they are compacted
-    to one of the next level, so that n batches leave about log(n) runs. The documents of a batch must be in no other.
+    to one of the next level, so that n batches leave about log(n) runs; counts beside them are summed up as soon as there are fan_in
+    tables of them, so that they hold a line once or twice. The documents of a batch must be in no other.
     """
 
     COLUMNS = "a long, b long, n long, top long"
@@ -104,6 +105,10 @@ class LineRuns:
             self.again.append(self._write(self.spark.table(batch).join(self.spark.table(new).select("a", "b").hint("merge"), ["a", "b"], "left_anti")))
             self._drop(batch)
             batch = new
+            if len(self.again) >= self.fan_in:
+                summed = self._write(self._merge(self.again).repartition(self.buckets, "a", "b"))
+                self._drop(*self.again)
+                self.again = [summed]
         self._add(0, batch)
 
     def _add(self, level: int, run: str) -> None:
@@ -128,16 +133,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     Texts are split at \\n; a line's key is the line stripped of [\\x20\\x09-\\x0D] with A-Z lower-cased. A key of min_chars code points or
     more that min_docs documents or more hold loses all lines but those in the largest doc_id that holds it. Null or empty texts are one
     empty line; texts of any length are taken whole. Rows of one doc_id are one document, and repeated rows end alike; rows without an id
-    are one document together, below all others. Keys are compared by 128-bit hashes. Columns may have any names.
+    are one document together, below all others. Keys are compared by 128-bit hashes. Columns may have any names. The table is dealt into
+    batches of about batch_lines lines, into larger ones where that would make more than MOST_BATCHES.
     """
     spark = docs.sparkSession
     t = F.coalesce(quoted(text), F.lit(""))
     keyed = docs.select(as_struct(docs, (text,)).alias("rest"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), t.alias("text"), F.xxhash64(t).alias("th"))
-    lines = materialize(line_hashes(keyed, min_chars))
+    n_lines = keyed.agg(F.sum(F.regexp_count("text", F.lit("\n")) + 1)).first()[0] or 0
+    batches = min(max(BATCHES, -(-n_lines // batch_lines)), MOST_BATCHES)
+    of = F.pmod(F.xxhash64("did"), F.lit(batches)).cast("int").alias("batch")
+    lines = materialize(line_hashes(keyed, min_chars).select("*", of), "batch")  # a folder for each batch: all of them together are read once
     runs = LineRuns(spark)
-    batches = max(BATCHES, -(-lines.count() // batch_lines))
     for b in range(batches):
-        runs.ingest(lines.where(F.pmod(F.xxhash64("did"), F.lit(batches)) == b).select("did", "a", "b"))
+        runs.ingest(lines.where(F.col("batch") == b).select("did", "a", "b"))
     common = materialize(runs.merged().where(F.col("n") >= min_docs).select("a", "b", "top"))
     runs.close()
     dropped = lines.join(common, ["a", "b"]).where("did <> top").groupBy("did", "th").agg(F.collect_set("i").alias("drop"))
