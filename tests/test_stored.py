@@ -81,3 +81,17 @@ def test_many_rows_of_one_symbol(spark, tmp_path):
 def test_cell_errors(spark, text, plain, price):
     x = F.lit(text).cast("string")
     assert tuple(spark.range(1).select(numbers.cell_error(x), numbers.cell_error(x, 100)).first()) == (plain, price)
+
+
+def test_bars_are_in_order_of_time_within_each_file(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(500).selectExpr("timestamp_seconds((id * 7919) % 500 * 60) AS ts", "id AS volume", "concat('U', id % 3) AS underlying").repartition(4)
+    sinks.write_bars(rows, str(tmp_path / "bars"))
+    files = list((tmp_path / "bars").rglob("part-*.parquet"))
+    assert len(files) >= 3 and sum(pq.read_metadata(f).num_rows for f in files) == 500
+    for f in files:
+        ts = pq.read_table(f)["ts"].to_pylist()
+        assert ts == sorted(ts)
+    first, second = (spark.read.parquet(str(tmp_path / "bars")).where(f"underlying = 'U{k}'") for k in (0, 1))
+    assert first.union(second).count() == first.count() + second.count() == 334

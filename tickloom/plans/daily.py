@@ -153,6 +153,24 @@ def master_cell_errors(spark, sf_dir):
     return bad.select("fyToken", F.inline("errors"))
 
 
+@query(f"""
+WITH o AS (SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE o_orderkey::VARCHAR END AS token FROM orders WHERE o_orderkey % 7 <> 3 AND o_orderkey % 11 <> 5)
+SELECT 'NSE:O' || k AS script, CASE WHEN token IN ('', 'x') THEN 'no scriptToken' ELSE '' END AS reason, CASE WHEN token NOT IN ('', 'x') THEN '{DAY}' END AS date FROM o""")
+def contract_halves(spark, sf_dir):
+    """Instruments of all orders: the valid and the invalid ones with what they lack, and which of them the day's contracts keep; those without a script or a known market are none."""
+    k = C("o_orderkey")
+    values = {
+        "fyToken": k.cast("string"), "symTicker": F.when(k % 7 == 3, "").otherwise(F.concat(F.lit("NSE:O"), k)), "exchange": F.when(k % 11 == 5, "77").otherwise("10"), "segment": F.lit("10"), "exInstType": F.lit("0"),
+        "exToken": F.when(k % 6 == 0, "").when(k % 6 == 1, "x").otherwise(k.cast("string")), "exSymName": F.lit("O"),
+    }
+    path = f"{scratch_dir(spark)}/halves"
+    table(spark, sf_dir, "orders").select(*[values.get(c, F.lit("")).alias(c) for c in MASTER_COLUMNS]).write.csv(path)
+    rows = normalize.bundle(normalize.normalize_india(files.read_master(spark, path)[0]))
+    valid, invalid = normalize.split_invalid(rows)
+    both = valid.select("script", F.lit("").alias("reason")).unionByName(invalid.select("script", "reason"))
+    return both.join(contracts.dated(rows, DAY).select("script", "date"), "script", "left")
+
+
 @query("""
 WITH l AS (SELECT p_partkey, p_partkey % 3 AS k, array_to_string(list_transform(range(CASE p_partkey % 3 WHEN 0 THEN 21 WHEN 1 THEN 22 ELSE 10 END), lambda i: p_partkey || 'c' || i), ',') AS record FROM part)
 SELECT record, 'wrong number of cells' AS reason FROM l WHERE k <> 0""")
