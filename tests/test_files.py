@@ -179,8 +179,8 @@ def test_basket_in_order_and_database(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     for _ in range(2):
         sinks.push_day(rows.select("script", "expiration"), rows.select(F.lit("B").alias("basket"), "script"), url, "20260728", mirror="latest")
-    for name, n in (("v4_20260728.contracts", 4), ("v4_20260728_baskets.baskets", 4), ("latest.contracts", 4), ("latest.baskets", 4)):
-        assert spark.read.jdbc(url, name).count() == n
+    for schema, name in (("v4_20260728", "contracts"), ("v4_20260728", "baskets"), ("v4_20260728_baskets", "baskets"), ("latest", "contracts"), ("latest", "baskets")):
+        assert spark.read.jdbc(url, f'"{schema}"."{name}"').count() == 4
 
 
 def test_basket_replaced_by_none(spark, tmp_path):
