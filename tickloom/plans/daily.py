@@ -344,14 +344,14 @@ UNION ALL SELECT symbol, '', 'no instrument' FROM o WHERE failed""")
 def captured_mappings(spark, sf_dir):
     """Mappings that landed in three parts, each taken in by a stream started anew: so many of a symbol at most, in so many seconds; those without an instrument are set apart."""
     k, date = C("o_orderkey"), C("o_orderdate")
-    columns = {"instrument_id": F.when(k % 7 == 0, "").otherwise(F.lpad(k.cast("string"), 12, " ")), "stype_in_symbol": F.concat(F.lit("S"), C("o_custkey") % 40), "start_ts": F.date_format(date, "yyyy-MM-dd HH:mm:ss")}
+    columns = {"instrument_id": F.when(k % 7 == 0, "").otherwise(F.lpad(k.cast("string"), 12, "0")), "stype_in_symbol": F.concat(F.lit("S"), C("o_custkey") % 40), "start_ts": F.date_format(date, "yyyy-MM-dd HH:mm:ss")}
     landed, out, rows = f"{scratch_dir(spark)}/mappings", scratch_dir(spark), table(spark, sf_dir, "orders")
     for since, until in (("1900", "1994"), ("1994", "1996"), ("1996", "2100")):
         part = rows.where((F.year(date) >= int(since)) & (F.year(date) < int(until)))
         part.select(*[columns.get(c, F.lit("")).alias(c) for c in files.MAPPING_COLUMNS]).write.mode("append").options(header=True, escape='"').csv(landed)
         some = intake.captured(intake.read_mapping_stream(spark, landed), CAP, LIVE_SECONDS)
         intake.take_in(some, f"{out}/checkpoint", intake.batch_sink(f"{out}/rows")).awaitTermination()
-    return spark.read.parquet(f"{out}/rows").select(C("stype_in_symbol").alias("symbol"), F.trim("instrument_id").alias("instrument_id"), "reason")
+    return spark.read.parquet(f"{out}/rows").select(C("stype_in_symbol").alias("symbol"), F.ltrim("instrument_id", F.lit("0")).alias("instrument_id"), "reason")
 
 
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS FinInstrmId, p_brand || ', "' || p_type || '"' AS TckrSymb, CAST(p_size AS VARCHAR) AS StrkPric, CAST(NULL AS VARCHAR) AS ISIN FROM part""")
