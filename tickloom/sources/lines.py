@@ -58,7 +58,13 @@ def by_header(lines: DataFrame, columns: list, aliases: dict) -> tuple[DataFrame
     own = F.when(F.col("_headed"), F.transform("_titles", lambda c: known[c])).otherwise(F.array(*map(F.lit, columns)))
     split = named.withColumn("_own", own).withColumn("_cells", cells(F.col("value")))
     fits = F.size("_cells") == F.size("_own")
-    bad = split.where(~fits).select(F.col("value").alias("record"), "source_path", "source_file", "line_no", F.lit("wrong number of cells").alias("reason"), F.size(F.filter("_cells", lambda c: c != "")).alias("filled"))
     last = lambda c: F.get("_cells", F.size("_own") - F.array_position(F.reverse("_own"), c).cast("int"))  # noqa: E731  beyond the end where there is none
-    good = split.where(fits & F.exists("_cells", lambda c: F.trim(c) != ""))
-    return good.select(*[F.nullif(last(c), F.lit("")).alias(c) for c in columns], "source_path", "source_file", F.col("line_no").alias("ordinal")), bad
+    rows = split.select(
+        *[F.when(fits, F.nullif(last(c), F.lit(""))).alias(c) for c in columns], "source_path", "source_file", "line_no", F.when(~fits, F.col("value")).alias("record"),
+        F.exists("_cells", lambda c: F.trim(c) != "").alias("_some"), F.size(F.filter("_cells", lambda c: c != "")).alias("filled"),
+    )
+    # Written, as filters on the columns would else be pushed below the split, which each condition would then repeat.
+    rows = kept(rows)
+    bad = rows.where("record IS NOT NULL").select("record", "source_path", "source_file", "line_no", F.lit("wrong number of cells").alias("reason"), "filled")
+    good = rows.where("record IS NULL AND _some")
+    return good.select(*columns, "source_path", "source_file", F.col("line_no").alias("ordinal")), bad
