@@ -75,6 +75,12 @@ def test_cells_as_the_csv_module_splits_them(spark):
     assert got['"open,1'] == ['"open', "1"]
 
 
+def test_a_line_is_split_once_and_stays_in_place(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("\n".join(",".join(CELLS) for _ in range(3)))
+    plan = normalize.normalize_india(files.read_master(spark, str(tmp_path))[0])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_first_and_last_row_of_the_files(spark, tmp_path):
     def row(detail, lot, ticker="NSE:A-EQ", token="7"):
         return ",".join(["1", detail, "0", lot, "0.05", "I", "", "", "", ticker, "10", "10", token, "A", *[""] * 7])
