@@ -105,6 +105,20 @@ def test_baskets_read_the_contracts_once(spark, tmp_path):
     assert plan.count("Scan parquet") <= 4 and "CartesianProduct" not in plan
 
 
+def test_only_contracts_that_are_asked_for_meet_the_templates(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(",".join(CELLS))
+    rows = normalize.bundle(normalize.normalize_india(files.read_master(spark, str(tmp_path))[0]))
+    template = spark.createDataFrame([("XNSE_NIFTY50_EQUITY", 0, "NSE:RELIANCE-EQ")], "name string, ordinal int, value string")
+    seen = []
+    before, baskets.kept = baskets.kept, lambda df, *by: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or before(df, *by)
+    try:
+        got = baskets.resolve(["XNSE_NIFTY50_EQUITY", "XIMC_FUTURES_ALL"], template, rows, "20260728", contracts.FILE_ORDER).collect()
+    finally:
+        baskets.kept = before
+    assert [(r.basket, r.script) for r in got] == [("XNSE_NIFTY50_EQUITY", "NSE:RELIANCE-EQ")]
+    assert "= XNSE)" in seen[0] and "= XIMC)" in seen[0]
+
+
 def test_copied_files_are_the_same_bytes(spark, tmp_path):
     import hashlib
     import os
