@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schema import REQUIRED
 from ..scratch import discard, kept, move, scratch_dir
+from ..sources.files import landed
 from .database import load
 
 #: Bytes of a file that a task holds while it copies.
@@ -17,20 +18,21 @@ COPY_BYTES = 8 << 20
 COPY_TASKS = 2000
 
 
-def write_partitions(df: DataFrame, path: str, by: list, sort: list | None = None, kind: str = "parquet", every: list | None = None) -> None:
+def write_partitions(df: DataFrame, path: str, by: list, sort: list | None = None, kind: str = "parquet", every: list | None = None, **options: str) -> None:
     """Replace the partitions of `by` that df has rows for, others stay; an empty df leaves all as it is.
 
     every: the values of `by`, as tuples, that the run stands for; those without rows are replaced too, by a table without rows (with a
-    header, if it is CSV). df is then written aside first, so that it is computed once.
+    header, if it is CSV). Those are the folders that the write gave no new files, so df is computed once and not written aside.
     """
-    df = kept(df) if every else df
+    spark = df.sparkSession
+    folders = ["/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in zip(by, values, strict=True))]) for values in every or []]
+    before = {f: set(landed(spark, f)) for f in folders}
     out = df.sortWithinPartitions(*by, *sort) if sort else df
     writer = _csv(out.write) if kind == "csv" else out.write
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(kind).save(path)
-    present = {tuple(r) for r in df.select(*by).distinct().collect()} if every else set()  # as many as there are folders
-    for values in (v for v in every or [] if tuple(v) not in present):
-        none = df.limit(0).drop(*by).write.mode("overwrite")
-        (_csv(none) if kind == "csv" else none).format(kind).save("/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in zip(by, values, strict=True))]))
+    writer.mode("overwrite").options(partitionOverwriteMode="dynamic", **options).partitionBy(*by).format(kind).save(path)
+    for folder in (f for f in folders if before[f].issuperset(landed(spark, f))):
+        none = df.limit(0).drop(*by).write.mode("overwrite").options(**options)
+        (_csv(none) if kind == "csv" else none).format(kind).save(folder)
 
 
 def copy_files(spark: SparkSession, source: str, target: str) -> DataFrame:
